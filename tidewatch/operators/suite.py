@@ -18,6 +18,7 @@ from tidewatch.operators.checks import Binding, KeyedCheck, RowCheck, SeriesChec
 
 DATE = "__date"
 LATEST = "__latest"
+ROWS = "__rows"
 
 
 @dataclass(frozen=True)
@@ -50,14 +51,18 @@ class Suite:
             kept += [column.alias(f"s{i}_{name}") for name, column in parts.items()]
         return kept
 
-    def partials(self, df: DataFrame) -> DataFrame | None:
-        """One row of partial aggregates per date (a single row if no check needs dates)."""
+    def partials(self, df: DataFrame, count_rows: bool = False) -> DataFrame | None:
+        """One row of partial aggregates per date (a single row if no check needs dates).
+
+        None if there is nothing to keep. ``count_rows`` keeps the number of rows as well.
+        """
         kept = self.partial_columns()
         date = self.date_column
-        if date is None:
-            return df.agg(*kept) if kept else None
-        grouped = df.groupBy(F.col(date).cast("date").alias(DATE))
-        return grouped.agg(*(kept or [F.count(F.lit(1)).alias("__rows")]))
+        if count_rows or (date is not None and not kept):
+            kept.append(F.count(F.lit(1)).alias(ROWS))
+        if date is not None:
+            return df.groupBy(F.col(date).cast("date").alias(DATE)).agg(*kept)
+        return df.agg(*kept) if kept else None
 
     def measure(self, partials: DataFrame) -> DataFrame:
         """Merge the per-date rows into one row with a column ``m<i>`` per row or series check."""
