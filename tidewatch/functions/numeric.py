@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,3 +39,10 @@ def seconds_between(start: Column, end: Column) -> Column:
     """Whole seconds from ``start`` to ``end``, both read as wall-clock time (no time zone)."""
     span = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
     return F.floor(span.cast("interval second").cast("decimal(20,6)")).cast("long")
+
+
+def wall_clock(moment: dt.datetime | Column) -> Column:
+    """A moment without time zone. A plain literal would go through the session's zone."""
+    if isinstance(moment, dt.datetime):
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(moment).cast("timestamp_ntz")

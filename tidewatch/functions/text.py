@@ -36,3 +36,16 @@ def fill_template(template: str, slots: dict[str, Column]) -> Column:
         elif piece:
             pieces.append(F.lit(piece))
     return F.concat(*pieces)
+
+
+def sql_text(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def template_sql(template: str, slots: dict[str, str]) -> str:
+    """Like ``fill_template``, as a SQL expression over SQL expressions."""
+    pieces = _SLOT.split(template)
+    return "concat(" + ", ".join(
+        slots[piece] if i % 2 else sql_text(piece) for i, piece in enumerate(pieces)
+    ) + ")"

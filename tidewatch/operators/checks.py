@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.numeric import round_half_up, seconds_between
+from tidewatch.functions.numeric import round_half_up, seconds_between, wall_clock
 
 SYSTEM_SCHEMA = "CORE"
 CUSTOM_SCHEMA = "RULES"
@@ -149,7 +149,7 @@ def row_count() -> Column:
 
 
 @row_check("FRESHNESS", ["column"], merge="max", schema=SYSTEM_SCHEMA,
-           finish=lambda newest, as_of: seconds_between(newest, F.lit(as_of)),
+           finish=lambda newest, as_of: seconds_between(newest, wall_clock(as_of)),
            finish_parameters=("as_of",))
 def freshness(column: Column) -> Column:
     """Seconds from the newest value to ``as_of`` (a wall-clock timestamp, given explicitly)."""

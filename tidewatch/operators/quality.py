@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import fill_template, num_text, short_name
+from tidewatch.functions.numeric import wall_clock
+from tidewatch.functions.text import num_text, short_name, sql_text, template_sql
 
 ALL = "All"
 
@@ -24,8 +25,8 @@ class Rule:
     status: str
     note: str | None = None  # slots: {value}, {table}
 
-    def applies(self, name: str, value: str) -> Column:
-        return F.col(name).ilike(self.pattern) & F.expr(self.violated.replace("v", f"`{value}`", 1))
+    def applies(self) -> str:
+        return f"dmf_name ilike {sql_text(self.pattern)} and {self.violated.replace('v', 'dmf_value', 1)}"
 
 
 # fixed values: verdict rules by check name, first match wins, with the text of the note
@@ -110,14 +111,23 @@ def quality_log(*histories: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) ->
         F.col("value").cast("double").alias("dmf_value"),
         *(c for c in ("columns",) if c in history.columns),
     )
-    slots = {"value": num_text(F.col("dmf_value")), "table": F.col("table_name")}
-    status, note = F.lit("pass"), F.lit(NO_NOTE)
-    for rule in reversed(rules):
-        hit = rule.applies("dmf_name", "dmf_value")
-        status = F.when(hit, F.lit(rule.status)).otherwise(status)
-        if rule.note is not None:
-            note = F.when(hit, fill_template(rule.note, slots)).otherwise(note)
-    return named.withColumns({"quality_status": status, "quality_note": note})
+    slots = {"value": "__value_text", "table": "table_name"}
+    status = _first_match([(r.applies(), sql_text(r.status)) for r in rules], "pass")
+    note = _first_match(
+        [(r.applies(), template_sql(r.note, slots)) for r in rules if r.note is not None], NO_NOTE
+    )
+    return (
+        named.withColumn("__value_text", num_text(F.col("dmf_value")))
+        .withColumns({"quality_status": F.expr(status), "quality_note": F.expr(note)})
+        .drop("__value_text")
+    )
+
+
+def _first_match(cases: Sequence[tuple[str, str]], otherwise: str) -> str:
+    if not cases:
+        return sql_text(otherwise)
+    whens = " ".join(f"when {condition} then {result}" for condition, result in cases)
+    return f"case {whens} else {sql_text(otherwise)} end"
 
 
 def order_log(log: DataFrame) -> DataFrame:
@@ -140,7 +150,7 @@ def in_date_range(column: str, dates: tuple[dt.date, dt.date] | None) -> Column:
     begin = dt.datetime.combine(start, dt.time())
     stop = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
     c = F.col(column)
-    return (c >= F.lit(begin).cast("timestamp_ntz")) & (c < F.lit(stop).cast("timestamp_ntz"))
+    return (c >= wall_clock(begin)) & (c < wall_clock(stop))
 
 
 def filter_log(

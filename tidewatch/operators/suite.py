@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions.numeric import wall_clock
+from tidewatch.functions.text import sql_text
 from tidewatch.operators.checks import Binding, KeyedCheck, RowCheck, SeriesCheck
 
 DATE = "__date"
@@ -96,23 +98,25 @@ class Suite:
 
     # ------------------------------------------------------------------ measurement rows
 
-    def measurement(self, i: int, value: Column, measured_at: Column) -> Column:
-        b = self.bindings[i]
-        return F.struct(
-            measured_at.cast("timestamp_ntz").alias("measurement_time"),
-            F.lit(self.database).alias("table_database"),
-            F.lit(self.schema).alias("table_schema"),
-            F.lit(self.table).alias("table_name"),
-            F.lit(self.check_database or self.database).alias("metric_database"),
-            F.lit(b.check.schema).alias("metric_schema"),
-            F.lit(b.name).alias("metric_name"),
-            F.lit(b.column_text).alias("columns"),
-            value.cast("double").alias("value"),
-        )
-
     def rows_of(self, wide: DataFrame, which: Sequence[int], measured_at: Column) -> DataFrame:
-        rows = F.array(*(self.measurement(i, F.col(f"m{i}"), measured_at) for i in which))
-        return wide.select(F.inline(rows))
+        """Turn the columns ``m<i>`` into one measurement row per binding and input row."""
+        cells = []
+        for i in which:
+            b = self.bindings[i]
+            cells += [
+                sql_text(b.check.schema), sql_text(b.name), sql_text(b.column_text),
+                f"cast(m{i} as double)",
+            ]
+        rows = f"stack({len(which)}, {', '.join(cells)}) as (metric_schema, metric_name, columns, value)"
+        constants = [
+            f"{sql_text(self.database)} as table_database",
+            f"{sql_text(self.schema)} as table_schema",
+            f"{sql_text(self.table)} as table_name",
+            f"{sql_text(self.check_database or self.database)} as metric_database",
+        ]
+        return wide.select("*", measured_at.alias("measurement_time")).selectExpr("measurement_time", rows).selectExpr(
+            "measurement_time", *constants, "metric_schema", "metric_name", "columns", "value"
+        )
 
 
 def _lookup(i: int):
@@ -125,7 +129,7 @@ def run_checks(df: DataFrame, suite: Suite, measured_at) -> DataFrame:
 
     ``measured_at`` is a timestamp value or column expression, the same for all rows.
     """
-    at = measured_at if isinstance(measured_at, Column) else F.lit(measured_at)
+    at = wall_clock(measured_at)
     parts: list[DataFrame] = []
     partials = suite.partials(df)
     if partials is not None:
@@ -138,7 +142,7 @@ def run_checks(df: DataFrame, suite: Suite, measured_at) -> DataFrame:
 
 def measure_partials(partials: DataFrame, suite: Suite, measured_at) -> DataFrame:
     """Measurement rows of the row and series checks from stored per-date partial aggregates."""
-    at = measured_at if isinstance(measured_at, Column) else F.lit(measured_at)
+    at = wall_clock(measured_at)
     shared = [i for i, b in enumerate(suite.bindings) if not isinstance(b.check, KeyedCheck)]
     return suite.rows_of(suite.measure(partials), shared, at)
 
@@ -158,4 +162,4 @@ def run_checks_by_date(
     wide = per_date.select(
         DATE, *(b.check.finished(F.col(f"r{i}"), b).alias(f"m{i}") for i, b in row_checks)
     )
-    return suite.rows_of(wide, [i for i, _ in row_checks], measured_at)
+    return suite.rows_of(wide, [i for i, _ in row_checks], wall_clock(measured_at))

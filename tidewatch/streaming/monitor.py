@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidewatch.functions.numeric import wall_clock
 from tidewatch.operators.checks import KeyedCheck, cardinality, duplicate_count
 from tidewatch.operators.suite import ROWS, Suite, measure_partials
 from tidewatch.session import shared_folder
@@ -74,11 +75,15 @@ class Monitor:
         # the in-memory table is filled by the first batch of a run, not by starting the query
         return any(p["numInputRows"] > 0 for p in self.partials.recentProgress)
 
-    def _last_batch(self) -> int:
-        done = self.spark.read.text(f"{self.folder}/partials/commits").select(
-            F.max(F.col("_metadata.file_name").cast("long"))
-        )
-        return done.first()[0]
+    def _last_batch(self) -> int | None:
+        """Number of the last finished batch of all runs."""
+        try:
+            finished = self.spark.read.text(f"{self.folder}/partials/commits")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return finished.select(F.max(F.col("_metadata.file_name").cast("long"))).first()[0]
 
     def keep_state(self) -> None:
         """Write the per-date partial aggregates next to the progress, for a run without new rows."""
@@ -88,30 +93,24 @@ class Monitor:
 
     def state(self) -> DataFrame:
         """The per-date partial aggregates after the last finished batch."""
-        if self._ran():
-            return self.spark.table(self.name)
+        current = self.spark.table(self.name)
+        last = self._last_batch()
+        if self._ran() or last is None:
+            return current
         try:
-            return self.spark.read.schema(self.spark.table(self.name).schema).parquet(
-                f"{self.folder}/state/batch-{self._last_batch()}"
+            return self.spark.read.schema(current.schema).parquet(
+                f"{self.folder}/state/batch-{last}"
             )
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            if self.partials.lastProgress is None and not self._has_progress():
-                return self.spark.table(self.name)  # nothing has arrived yet
             raise RuntimeError(
                 "the last run ended before its state was kept; measure into a new folder"
             ) from error
 
-    def _has_progress(self) -> bool:
-        try:
-            return self._last_batch() is not None
-        except AnalysisException:
-            return False
-
     def measure(self, measured_at) -> DataFrame:
         """Measurement rows of the whole table as streamed so far."""
-        at = F.lit(measured_at)
+        at = wall_clock(measured_at)
         state = self.state()
         parts = []
         if any(not isinstance(b.check, KeyedCheck) for b in self.suite.bindings):

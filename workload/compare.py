@@ -37,7 +37,7 @@ def compare(spark, connection, sf, key, query, sql):
     frame = query(spark, sf)
     ours = _rows(frame.columns, frame.collect())
     if sql is None:
-        return None
+        return "no SQL to compare with"
     result = connection.execute(sql)
     columns = [d[0] for d in result.description]
     theirs = _rows(columns, result.fetchall())

@@ -521,6 +521,39 @@ FINAL["score_history"] = f"""select cast(measured_at as date) as date,
     from newest_per_day group by 1"""
 
 
+
+
+def nulls(source: str, *columns: str) -> str:
+    return union(
+        *(
+            f"select {quote(c)} as column_name, count(*) filter ({c} is null) as failing_rows "
+            f"from {source}"
+            for c in columns
+        )
+    )
+
+
+def unexpected(source: str, column: str, accepted: str) -> str:
+    return (
+        f"select {column} as value_field, count(*) as n_records from {source} "
+        f"where {column} not in ({accepted}) group by 1"
+    )
+
+
+FINAL["expect_not_null"] = union(
+    nulls("staged", "metric_date", "metric_name", "metric_value"),
+    nulls("rolling", "z_score"),
+    nulls("classified", "is_drift_alert"),
+    nulls("log", "measured_at", "table_name", "dmf_name", "dmf_value", "quality_status",
+          "quality_note"),
+)
+FINAL["expect_accepted_values"] = union(
+    unexpected("staged", "metric_name", "'revenue', 'order_count'"),
+    unexpected("classified", "drift_severity", "'critical', 'warning', 'watch'"),
+    unexpected("log", "quality_status", "'pass'"),
+)
+
+
 # ------------------------------------------------------------------ reports
 
 FINAL["kpi_summary"] = """select score, total_checks, passing,
