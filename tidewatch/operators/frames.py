@@ -1,8 +1,11 @@
-"""Cutting long series into chunks for windows that only look a few rows back.
+"""Keeping window groups small for trailing frames, with unchanged results.
 
-A window group is sorted and evaluated by one task. Where a single series may hold a large share of
-all rows, the series is cut at calendar boundaries and each chunk gets a copy of the few rows that
-precede it. A trailing frame then sees the same rows as over the uncut series.
+A window group is sorted and evaluated by one task. Two things can make one large:
+
+* a long series: it is cut at calendar boundaries, and each chunk gets a copy of the few rows that
+  precede it (``with_carried_rows``), so that a trailing frame sees the same rows as before;
+* very many copies of one row: once a frame is filled with copies, every further copy has the same
+  result, so it is enough to evaluate the first few and repeat the last (``merge_copies``).
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ from pyspark.sql import functions as F
 
 CHUNK = "__chunk"
 CARRIED = "__carried"
+REPEATS = "__repeats"
+REPEAT_BLOCK = 100_000
 
 
 def with_carried_rows(
@@ -58,3 +63,41 @@ def with_carried_rows(
 
 def drop_carried(df: DataFrame) -> DataFrame:
     return df.where(~F.col(CARRIED)).drop(CHUNK, CARRIED)
+
+
+def merge_copies(df: DataFrame, reach: int) -> DataFrame:
+    """Keep at most ``reach + 1`` of the rows that are equal in all columns.
+
+    The column ``REPEATS`` of the last one kept says for how many rows it stands (1 elsewhere). Copies
+    are counted per task before the shuffle. ``repeat_rows`` brings them back.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    kept = F.least("__copies", F.lit(reach + 1))
+    return (
+        counted.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), kept)))
+        .withColumn(
+            REPEATS,
+            F.when(F.col("__copy") <= reach, F.lit(1).cast("long"))
+            .otherwise(F.col("__copies") - reach),
+        )
+        .drop("__copies", "__copy")
+    )
+
+
+def repeat_rows(df: DataFrame) -> DataFrame:
+    """Write out every row ``REPEATS`` times. Long repetitions are spread over tasks in blocks."""
+    repeats, block = F.col(REPEATS), F.lit(REPEAT_BLOCK)
+    last_block = F.floor((repeats - 1) / block).cast("long")
+    long = (
+        df.where(repeats > block)
+        .withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+        .repartition("__block", *df.columns)
+        .withColumn(REPEATS, F.least(block, repeats - F.col("__block") * block))
+        .drop("__block")
+    )
+    short = df.where(repeats <= block)
+    return (
+        short.unionByName(long)
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), repeats)))
+        .drop("__copy", REPEATS)
+    )

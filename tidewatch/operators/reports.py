@@ -222,7 +222,9 @@ def alert_markers(
     drift: DataFrame, alerts: DataFrame, metric: str, segment: str, dates: Dates | None = None
 ) -> DataFrame:
     """Alerts of one series with the series value on their date."""
-    series = _one_series(drift, metric, segment, dates).select("metric_date", "metric_value")
+    series = (
+        _one_series(drift, metric, segment, dates).select("metric_date", "metric_value").distinct()
+    )
     marked = _one_series(alerts, metric, segment, dates).select(
         "metric_date", "drift_severity", F.col("metric_value").alias("metric_value_a")
     )

@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.numeric import day_of_week, is_weekend
-from tidewatch.operators.frames import drop_carried, with_carried_rows
+from tidewatch.operators.frames import (
+    drop_carried,
+    merge_copies,
+    repeat_rows,
+    with_carried_rows,
+)
 
 SERIES = ("metric_name", "segment")
 
@@ -41,6 +46,7 @@ def rolling_stats(
     min_rows: int = 7,
     baseline: str = "inclusive",
     chunk: str | None = None,
+    copies: str = "separate",
 ) -> DataFrame:
     """Mean, standard deviation, row count and z-score over the last ``window`` rows of a series.
 
@@ -52,17 +58,23 @@ def rolling_stats(
     variation, and rows with a shorter history are left out.
 
     A series at daily grain is small (ten years are 3,650 rows), so one window group per series is
-    what you want. For finer or unbounded series, pass ``chunk`` ("day", "month", "year", ...): each
-    series is then cut into calendar chunks that are windowed in parallel, with the same result.
+    what you want; ``daily_metrics`` gives that grain. For other tables there are two ways to keep
+    the groups small, with the same result: ``chunk`` ("day", "month", "year", ...) cuts each series
+    into calendar chunks that are windowed in parallel, and ``copies="merged"`` counts equal rows
+    before the shuffle instead of sending each of them to the task of its series.
     """
     avg, std, n = (f"rolling_{window}d_{s}" for s in ("avg", "stddev", "count"))
     if baseline not in ("inclusive", "prior"):
         raise ValueError(f"unknown baseline {baseline!r}")
+    if copies not in ("separate", "merged"):
+        raise ValueError(f"unknown treatment of copies {copies!r}")
     prior = baseline == "prior"
+    reach = window if prior else window - 1
 
+    if copies == "merged":
+        df = merge_copies(df, reach)
     groups = list(keys)
     if chunk:
-        reach = window if prior else window - 1
         df, chunk_column = with_carried_rows(df, keys, order, [value], chunk, reach)
         groups.append(chunk_column)
     # the value breaks ties, so that repeated dates give the same frames on every run
@@ -86,4 +98,5 @@ def rolling_stats(
 
     if chunk:
         rolled = drop_carried(rolled)
-    return rolled.withColumn("z_score", z)
+    rolled = rolled.withColumn("z_score", z)
+    return repeat_rows(rolled) if copies == "merged" else rolled

@@ -22,25 +22,36 @@ class DriftTables:
 
 
 def drift_tables(
-    raw: DataFrame, complete: Complete | None = None, chunk: str | None = None
+    raw: DataFrame,
+    complete: Complete | None = None,
+    chunk: str | None = None,
+    copies: str = "separate",
 ) -> DriftTables:
-    """Build all tables lazily. Rolling statistics and alert context share one shuffle by series."""
+    """Build all tables lazily. Rolling statistics and alert context share one shuffle by series.
+
+    ``chunk`` and ``copies`` keep tasks even for tables that are not at daily grain, see
+    ``rolling_stats``.
+    """
     staged = stage_metrics(raw)
-    rolling = rolling_stats(staged, chunk=chunk)
+    rolling = rolling_stats(staged, chunk=chunk, copies=copies)
     drift = classify_drift(rolling)
     alerts = drift_alerts(drift, chunk=chunk)
     return DriftTables(staged, rolling, drift, alerts, explain_alerts(alerts, complete))
 
 
 def rebuild_drift_tables(
-    raw: DataFrame, folder: str, complete: Complete | None = None, chunk: str | None = None
+    raw: DataFrame,
+    folder: str,
+    complete: Complete | None = None,
+    chunk: str | None = None,
+    copies: str = "separate",
 ) -> DriftTables:
     """Rebuild the three stored tables under ``folder``; each is computed from the stored one before.
 
     Returns frames that read the stored tables (staging and rolling statistics stay lazy).
     """
     spark = raw.sparkSession
-    lazy = drift_tables(raw, complete, chunk)
+    lazy = drift_tables(raw, complete, chunk, copies)
     overwrite_table(lazy.drift, f"{folder}/drift")
     drift = read_table(spark, f"{folder}/drift")
     overwrite_table(drift_alerts(drift, chunk=chunk), f"{folder}/alerts")
