@@ -169,6 +169,28 @@ def test_chunked_series_give_the_same_result(spark, chunk, baseline):
     assert same_rows(drift_alerts(drift), drift_alerts(drift, chunk=chunk))
 
 
+@pytest.mark.parametrize("chunk_rows", [1, 30])
+@pytest.mark.parametrize("baseline", ["inclusive", "prior"])
+def test_busy_dates_are_cut_with_the_same_result(spark, baseline, chunk_rows):
+    rng = random.Random(31)
+    rows = []
+    for s in range(4):
+        for i in range(60):
+            date = dt.date(2024, 1, 1) + dt.timedelta(days=i)
+            n = {0: 1, 1: rng.choice([1, 2, 40]), 2: 700 if i == 20 else 1, 3: 25}[s]
+            segment = None if s == 3 else "s"
+            rows += [(date, f"m{s}", rng.choice([None, rng.gauss(0, 1)]), segment) for _ in range(n)]
+    staged = stage_metrics(spark.createDataFrame(rows, RAW_METRICS)).cache()
+    whole = rolling_stats(staged, baseline=baseline)
+    cut = rolling_stats(staged, baseline=baseline, chunk="month", chunk_rows=chunk_rows)
+    assert cut.columns == whole.columns
+    assert same_rows(whole, cut)
+    drift = classify_drift(whole).cache()
+    assert same_rows(
+        drift_alerts(drift), drift_alerts(drift, chunk="month", chunk_rows=chunk_rows)
+    )
+
+
 @pytest.mark.parametrize("chunk", [None, "day"])
 @pytest.mark.parametrize("baseline", ["inclusive", "prior"])
 def test_merged_copies_give_the_same_result(spark, monkeypatch, chunk, baseline):

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from tidewatch.operators import checks as c
 from tidewatch.operators.suite import Suite, run_checks
@@ -69,3 +70,14 @@ def test_daily_metrics(spark):
     }
     alone = daily_metrics(frame, "ts", "kind", {"events": rows()}, total_segment=None)
     assert alone.count() == 4
+
+
+def test_sums_are_exact_in_any_order(spark):
+    rng = random.Random(9)
+    cents = [rng.randrange(-10**12, 10**12) for _ in range(4000)] + [9 * 10**17] * 30
+    day = dt.datetime(2024, 1, 1)
+    frame = spark.createDataFrame([(day, "a", c / 100) for c in cents], "ts timestamp_ntz, k string, v double")
+    expected = sum(round(c / 100 * 100) for c in cents) / 100
+    for parts in (1, 7):
+        got = daily_metrics(frame.repartition(parts), "ts", "k", {"v": total("v")}, None).first()
+        assert got.metric_value == expected

@@ -73,6 +73,7 @@ def drift_alerts(
     context_rows: int = 3,
     context: str = "trailing",
     chunk: str | None = None,
+    chunk_rows: int | None = None,
     average: str = "rolling_14d_avg",
 ) -> DataFrame:
     """Alert rows with the value of the previous *alert* of the series and the change against it.
@@ -80,8 +81,8 @@ def drift_alerts(
     ``context="trailing"``: ``consecutive_alert_window`` is the number of alerts among the last
     ``context_rows`` alerts (at most ``context_rows``) and the change divides by the previous value.
     ``context="running"``: it is the number of the alert in its series, not capped, and the change
-    divides by the absolute previous value. ``chunk`` cuts long series as in ``rolling_stats``
-    (trailing context only).
+    divides by the absolute previous value. ``chunk`` and ``chunk_rows`` cut long series as in
+    ``rolling_stats`` (trailing context only).
     """
     alerts = drift.where("is_drift_alert").select(
         "metric_date", "metric_name", "segment", "metric_value", average, "z_score",
@@ -96,7 +97,7 @@ def drift_alerts(
     if chunk:
         reach = max(1, context_rows - 1)
         alerts, chunk_column = with_carried_rows(
-            alerts, keys, order, ["metric_value"], chunk, reach
+            alerts, keys, order, "metric_value", chunk, reach, chunk_rows
         )
         groups.append(chunk_column)
     series = Window.partitionBy(*groups).orderBy(order, "metric_value")

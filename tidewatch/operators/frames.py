@@ -19,33 +19,35 @@ CHUNK = "__chunk"
 CARRIED = "__carried"
 REPEATS = "__repeats"
 REPEAT_BLOCK = 100_000
+PIECES = 128
 
 
 def with_carried_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    ties: Sequence[str],
+    tie: str,
     chunk: str,
     reach: int,
+    chunk_rows: int | None = None,
 ) -> tuple[DataFrame, str]:
     """Add a chunk column, and to every chunk the ``reach`` rows of the series just before it.
 
-    Returns the frame and the name of the chunk column; ``drop_carried`` removes the copies again.
-    Only the last ``reach`` rows of every chunk are needed to find the copies: Spark keeps no more
-    than those per task before it shuffles (a rank filter on a window).
+    Rows are in the order of (``order``, ``tie``). Returns the frame and the name of the chunk column;
+    ``drop_carried`` removes the copies again. Only the last ``reach`` rows of every chunk are needed
+    to find the copies: Spark keeps no more than those per task before it shuffles (a rank filter on
+    a window). With ``chunk_rows``, single values of ``order`` with more rows than that are cut
+    further, see ``_cut``.
     """
     columns = df.columns
-    cut = df.withColumn(CHUNK, F.date_trunc(chunk, F.col(order).cast("timestamp_ntz")))
+    cut = _cut(df, keys, order, tie, chunk, chunk_rows)
 
-    latest_first = Window.partitionBy(*keys, CHUNK).orderBy(
-        F.desc(order), *(F.desc(t) for t in ties)
-    )
+    latest_first = Window.partitionBy(*keys, CHUNK).orderBy(F.desc(order), F.desc(tie))
     tails = cut.withColumn("__back", F.row_number().over(latest_first)).where(
         F.col("__back") <= reach
     )
 
-    along = Window.partitionBy(*keys).orderBy(order, *ties)
+    along = Window.partitionBy(*keys).orderBy(order, tie)
     carried = (
         tails.withColumns(
             {
@@ -61,6 +63,43 @@ def with_carried_rows(
     return cut.withColumn(CARRIED, F.lit(False)).unionByName(carried), CHUNK
 
 
+def _cut(
+    df: DataFrame, keys: Sequence[str], order: str, tie: str, chunk: str, chunk_rows: int | None
+) -> DataFrame:
+    """Number the chunks of every series so that the number never falls along the series.
+
+    The first part of the number is the calendar chunk. With ``chunk_rows``, an ``order`` value (a
+    date) with more rows is cut at approximate quantiles of ``tie``: the second part tells the
+    stretches before, at and after such values apart, the third counts the quantiles passed.
+    """
+    period = F.date_trunc(chunk, F.col(order).cast("timestamp_ntz"))
+    if chunk_rows is None:
+        return df.withColumn(CHUNK, F.struct(period.alias("period")))
+
+    steps = F.array(*(F.lit(i / PIECES) for i in range(1, PIECES)))
+    busy = (
+        df.groupBy(*keys, order)
+        .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(tie, steps).alias("edges"))
+        .where(F.col("n") > chunk_rows)
+        .groupBy(*keys, period.alias("__period"))
+        .agg(F.collect_list(F.struct(F.col(order).alias("at"), "edges")).alias("__busy"))
+    )
+    here = F.filter("__busy", lambda b: b["at"] == F.col(order))
+    passed = F.size(F.filter("__busy", lambda b: b["at"] < F.col(order)))
+    stretch = 2 * passed + F.size(here)
+    piece = F.size(F.filter(here[0]["edges"], lambda edge: edge < F.col(tie)))
+    placed = df.withColumn("__period", period)
+    same = [placed[k].eqNullSafe(busy[k]) for k in keys]
+    return placed.join(busy, [*same, placed["__period"] == busy["__period"]], "left").select(
+        *(placed[c] for c in df.columns),
+        F.struct(
+            placed["__period"].alias("period"),
+            F.when(F.col("__busy").isNotNull(), stretch).otherwise(F.lit(0)).alias("stretch"),
+            F.when(F.size(here) > 0, piece).otherwise(F.lit(0)).alias("piece"),
+        ).alias(CHUNK),
+    )
+
+
 def drop_carried(df: DataFrame) -> DataFrame:
     return df.where(~F.col(CARRIED)).drop(CHUNK, CARRIED)
 

@@ -46,6 +46,7 @@ def rolling_stats(
     min_rows: int = 7,
     baseline: str = "inclusive",
     chunk: str | None = None,
+    chunk_rows: int | None = None,
     copies: str = "separate",
 ) -> DataFrame:
     """Mean, standard deviation, row count and z-score over the last ``window`` rows of a series.
@@ -59,9 +60,10 @@ def rolling_stats(
 
     A series at daily grain is small (ten years are 3,650 rows), so one window group per series is
     what you want; ``daily_metrics`` gives that grain. For other tables there are two ways to keep
-    the groups small, with the same result: ``chunk`` ("day", "month", "year", ...) cuts each series
-    into calendar chunks that are windowed in parallel, and ``copies="merged"`` counts equal rows
-    before the shuffle instead of sending each of them to the task of its series.
+    the groups small, with the same result: ``chunk`` ("month", "year", ...) cuts each series into
+    calendar chunks that are windowed in parallel, with ``chunk_rows`` also single dates with more
+    rows than that; and ``copies="merged"`` counts equal rows before the shuffle instead of sending
+    each of them to the task of its series.
     """
     avg, std, n = (f"rolling_{window}d_{s}" for s in ("avg", "stddev", "count"))
     if baseline not in ("inclusive", "prior"):
@@ -75,7 +77,9 @@ def rolling_stats(
         df = merge_copies(df, reach)
     groups = list(keys)
     if chunk:
-        df, chunk_column = with_carried_rows(df, keys, order, [value], chunk, reach)
+        df, chunk_column = with_carried_rows(
+            df, keys, order, value, chunk, reach, chunk_rows
+        )
         groups.append(chunk_column)
     # the value breaks ties, so that repeated dates give the same frames on every run
     series = Window.partitionBy(*groups).orderBy(order, value)

@@ -25,17 +25,18 @@ def drift_tables(
     raw: DataFrame,
     complete: Complete | None = None,
     chunk: str | None = None,
+    chunk_rows: int | None = None,
     copies: str = "separate",
 ) -> DriftTables:
     """Build all tables lazily. Rolling statistics and alert context share one shuffle by series.
 
-    ``chunk`` and ``copies`` keep tasks even for tables that are not at daily grain, see
+    ``chunk``, ``chunk_rows`` and ``copies`` keep tasks even for tables that are not at daily grain, see
     ``rolling_stats``.
     """
     staged = stage_metrics(raw)
-    rolling = rolling_stats(staged, chunk=chunk, copies=copies)
+    rolling = rolling_stats(staged, chunk=chunk, chunk_rows=chunk_rows, copies=copies)
     drift = classify_drift(rolling)
-    alerts = drift_alerts(drift, chunk=chunk)
+    alerts = drift_alerts(drift, chunk=chunk, chunk_rows=chunk_rows)
     return DriftTables(staged, rolling, drift, alerts, explain_alerts(alerts, complete))
 
 
@@ -44,6 +45,7 @@ def rebuild_drift_tables(
     folder: str,
     complete: Complete | None = None,
     chunk: str | None = None,
+    chunk_rows: int | None = None,
     copies: str = "separate",
 ) -> DriftTables:
     """Rebuild the three stored tables under ``folder``; each is computed from the stored one before.
@@ -51,10 +53,10 @@ def rebuild_drift_tables(
     Returns frames that read the stored tables (staging and rolling statistics stay lazy).
     """
     spark = raw.sparkSession
-    lazy = drift_tables(raw, complete, chunk, copies)
+    lazy = drift_tables(raw, complete, chunk, chunk_rows, copies)
     overwrite_table(lazy.drift, f"{folder}/drift")
     drift = read_table(spark, f"{folder}/drift")
-    overwrite_table(drift_alerts(drift, chunk=chunk), f"{folder}/alerts")
+    overwrite_table(drift_alerts(drift, chunk=chunk, chunk_rows=chunk_rows), f"{folder}/alerts")
     alerts = read_table(spark, f"{folder}/alerts")
     overwrite_table(explain_alerts(alerts, complete), f"{folder}/insights")
     insights = read_table(spark, f"{folder}/insights")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +15,8 @@ TOTAL_SEGMENT = "all"
 class Measure:
     """A daily metric: the sum of an amount, the number of rows, or the mean of an amount.
 
-    Amounts are summed as decimals, so the result does not depend on the order of summation.
+    Amounts are rounded to ``scale`` decimal places and summed exactly, so the result does not depend
+    on the order of summation.
     """
 
     kind: str
@@ -53,7 +54,7 @@ def daily_metrics(
         F.col(date).cast("date").alias("metric_date"), F.col(segment).cast("string").alias("segment")
     ).agg(*(column.alias(name) for name, column in parts.items()))
     if total_segment is not None:
-        merged = [F.sum(name).alias(name) for name in parts]
+        merged = [F.sum(name).alias(name) for name in parts]  # counts and whole-number sums
         by_segment = (
             by_segment.select(
                 "metric_date", F.explode(F.array("segment", F.lit(total_segment))).alias("segment"),
@@ -70,24 +71,34 @@ def daily_metrics(
     ).select("metric_date", "metric_name", "metric_value", "segment")
 
 
-def _sum_name(m: Measure) -> str:
-    return f"__sum_{m.column}_{m.scale}"
+# Sums are kept as whole numbers of the smallest decimal place, in a high and a low part, because
+# adding longs is several times faster than adding decimals and the parts cannot overflow.
+LOW_BITS = 24
 
 
-def _count_name(m: Measure) -> str:
-    return f"__n_{m.column}"
+def _units(m: Measure) -> Column:
+    """The amount in units of the smallest decimal place, rounded half away from zero."""
+    amount = F.col(m.column).cast("double")
+    size = (F.abs(amount) * 10**m.scale + 0.5).cast("long")
+    return F.when(amount < 0, -size).otherwise(size)
 
 
-def _partial_columns(measures: Sequence[Measure]) -> dict[str, Column]:
+def _names(m: Measure) -> tuple[str, str, str]:
+    return tuple(f"__{part}_{m.column}_{m.scale}" for part in ("high", "low", "n"))
+
+
+def _partial_columns(measures: Iterable[Measure]) -> dict[str, Column]:
     parts: dict[str, Column] = {}
     for m in measures:
         if m.kind == "rows":
             parts["__rows"] = F.count(F.lit(1))
         elif m.kind in ("total", "mean"):
-            amount = F.col(m.column).cast(f"decimal(18,{m.scale})")
-            parts[_sum_name(m)] = F.sum(amount)
+            high, low, n = _names(m)
+            units = _units(m)
+            parts[high] = F.sum(F.shiftright(units, LOW_BITS))
+            parts[low] = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1).cast("long")))
             if m.kind == "mean":
-                parts[_count_name(m)] = F.count(m.column)
+                parts[n] = F.count(m.column)
         else:
             raise ValueError(f"unknown measure {m.kind!r}")
     return parts
@@ -96,7 +107,9 @@ def _partial_columns(measures: Sequence[Measure]) -> dict[str, Column]:
 def _finish(m: Measure) -> Column:
     if m.kind == "rows":
         return F.col("__rows").cast("double")
-    amount = F.col(_sum_name(m)).cast("double")
+    high, low, n = _names(m)
+    units = F.col(high).cast("decimal(20,0)") * 2**LOW_BITS + F.col(low)
+    amount = (units.cast("decimal(28,0)") / 10**m.scale).cast("double")
     if m.kind == "total":
         return amount
-    return amount / F.nullif(F.col(_count_name(m)).cast("double"), F.lit(0.0))
+    return amount / F.nullif(F.col(n).cast("double"), F.lit(0.0))

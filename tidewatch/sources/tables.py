@@ -30,7 +30,10 @@ def append_measurements(measurements: DataFrame, path: str, batch_id: int | None
     With a ``batch_id`` the rows go to a partition of that batch, and writing the same batch again
     replaces it, so a repeated batch is not counted twice.
     """
-    dated = measurements.withColumn("measured_date", F.to_date("measurement_time"))
+    # one file per day instead of one per task
+    dated = measurements.withColumn("measured_date", F.to_date("measurement_time")).repartition(
+        "measured_date"
+    )
     if batch_id is None:
         dated.withColumn("batch_id", F.lit(-1).cast("long")).write.mode("append").partitionBy(
             "measured_date", "batch_id"
