@@ -34,13 +34,10 @@ def stream_table(
     spark: SparkSession,
     path: str,
     schema,
-    files: str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """A parquet folder as a stream: rows of new files arrive as they appear."""
+    """A parquet folder (or pattern) as a stream: rows of new files arrive as they appear."""
     reader = spark.readStream.schema(schema)
-    if files:
-        reader = reader.option("pathGlobFilter", files)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)

@@ -425,7 +425,8 @@ def pick_lists(spark, sf):
 def monitor_stream(spark, sf):
     """The events streamed in, measured as a whole when all rows have been worked off."""
     schema = t.table(spark, sf, "events").schema
-    stream = stream_table(spark, sf, schema, files="events.parquet")
+    # a pattern, as the table may be a single file, which is no source for a stream by its plain name
+    stream = stream_table(spark, f"{sf}/events.parque[t]", schema)
     checked = stream.select(
         "user_id", "event_type", "value", F.col("ts").cast("date").alias("d"), "ts"
     )
