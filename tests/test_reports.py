@@ -202,3 +202,14 @@ def test_explanations(tables):
     for x in rows:
         assert (x.ai_insight is None) == (x.drift_severity == "watch")
         assert x.ai_insight is None or x.ai_insight.endswith(" letters")
+
+
+def test_listings(tables, log):
+    assert tuple(r.list_log(log).columns) == r.LOG_COLUMNS and r.list_log(log).count() == 19
+    for listing, frame, newest_first in (
+        (r.list_drift, tables.drift, False),
+        (r.list_alerts, tables.alerts, True),
+        (r.list_insights, tables.insights, True),
+    ):
+        dates = [x.metric_date for x in listing(frame).collect()]
+        assert dates == sorted((x.metric_date for x in frame.collect()), reverse=newest_first)

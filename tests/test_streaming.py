@@ -1,4 +1,6 @@
 import datetime as dt
+import threading
+import time
 
 import pytest
 
@@ -64,6 +66,44 @@ def test_history_of_a_running_monitor(spark, tables, tmp_path):
     }
 
 
+def test_interval(spark, tables, tmp_path):
+    path, log = str(tmp_path / "table"), str(tmp_path / "log")
+    half = "metric_date < '2026-03-01'"
+    tables.drift.where(half).write.parquet(path)
+    suite = Suite(
+        "DB", "S", "T",
+        (c.row_count.on(), c.duplicate_count.on("metric_date", "metric_name", "segment")),
+    )
+    monitor = start_monitor(
+        stream_table(spark, path, tables.drift.schema), suite, every="1 second"
+    )
+    keeper = threading.Thread(
+        target=keep_measuring, args=(monitor, log, lambda: AT), kwargs={"poll_seconds": 0.2}
+    )
+    keeper.start()
+
+    def measured():
+        rows = read_measurements(spark, log).collect()
+        newest = max((r.batch_id for r in rows), default=None)
+        return {r.metric_name: r.value for r in rows if r.batch_id == newest}
+
+    def wait_for(expected):
+        end = time.time() + 60
+        while measured() != expected and time.time() < end:
+            time.sleep(0.5)
+        assert measured() == expected
+
+    try:
+        first = tables.drift.where(half).count()
+        wait_for({"ROW_COUNT": first, "DUPLICATE_COUNT": 0})
+        tables.drift.write.mode("append").parquet(path)  # the rest, and the first part once more
+        wait_for({"ROW_COUNT": first + tables.drift.count(), "DUPLICATE_COUNT": first})
+    finally:
+        monitor.stop()
+        keeper.join(60)
+    assert not keeper.is_alive()
+
+
 def test_unsupported_check(spark, tables, tmp_path):
     path = str(tmp_path / "table")
     tables.drift.limit(3).write.parquet(path)

@@ -9,13 +9,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import short_name
-from tidewatch.operators.drift import SEVERITIES, severity_rank
+from tidewatch.operators.drift import ALERT_COLUMNS, DRIFT_COLUMNS, SEVERITIES, severity_rank
 from tidewatch.operators.health import health_breakdown, health_score
+from tidewatch.operators.insights import INSIGHT_COLUMNS
 from tidewatch.operators.quality import ALL, STATUSES, status_rank
 from tidewatch.operators.quantiles import exact_quantiles
 
 Dates = tuple[dt.date, dt.date]
 
+LOG_COLUMNS = (
+    "measured_at", "db_name", "schema_name", "table_name", "dmf_name", "check_type", "dmf_value",
+    "quality_status", "quality_note",
+)
+
 
 def filter_dates(df: DataFrame, dates: Dates | None, column: str = "metric_date") -> DataFrame:
     """Keep the rows of an inclusive date range."""
@@ -29,6 +35,26 @@ def filter_severity(df: DataFrame, severity: str | None) -> DataFrame:
     return df.where(F.col("drift_severity") == severity.lower())
 
 
+def list_log(log: DataFrame) -> DataFrame:
+    """The tagged quality log as reports read it, newest first."""
+    return log.select(*LOG_COLUMNS).orderBy(F.desc("measured_at"))
+
+
+def list_drift(drift: DataFrame) -> DataFrame:
+    """The drift table as reports read it, by date."""
+    return drift.select(*DRIFT_COLUMNS).orderBy("metric_date")
+
+
+def list_alerts(alerts: DataFrame) -> DataFrame:
+    """The alerts as reports read them, newest first."""
+    return alerts.select(*ALERT_COLUMNS).orderBy(F.desc("metric_date"))
+
+
+def list_insights(insights: DataFrame) -> DataFrame:
+    """The explanations as reports read them, newest first."""
+    return insights.select(*INSIGHT_COLUMNS).orderBy(F.desc("metric_date"))
+
+
 def kpi_summary(log: DataFrame, alerts: DataFrame) -> DataFrame:
     """One row: checks by outcome, pass rate, alerts, critical alerts, metrics with alerts."""
     checks = health_score(log).select(

@@ -69,9 +69,18 @@ class Monitor:
         for query in self.queries:
             query.stop()
 
+    def _newest_batch(self) -> int | None:
+        """Number of the newest batch with rows in this run (idle triggers report progress as well)."""
+        with_rows = [p["batchId"] for p in self.partials.recentProgress if p["numInputRows"] > 0]
+        return max(with_rows, default=None)
+
     def _ran(self) -> bool:
         # the in-memory table is filled by the first batch of a run, not by starting the query
-        return any(p["numInputRows"] > 0 for p in self.partials.recentProgress)
+        return self._newest_batch() is not None
+
+    def _quiet(self) -> bool:
+        """Whether no query is in the middle of a batch."""
+        return not any(q.isActive and q.status["isTriggerActive"] for q in self.queries)
 
     def _last_batch(self) -> int | None:
         """Number of the last finished batch of all runs."""
@@ -182,29 +191,19 @@ def keep_measuring(
     clock: Callable[[], dt.datetime],
     poll_seconds: float = 1.0,
 ) -> None:
-    """Append a measurement to the history after every batch, until the monitor's queries end.
+    """Append a measurement to the history after every trigger with rows, until the queries end.
 
-    Rows carry the batch number, and measuring a batch again replaces its rows.
+    Rows carry the batch number, and measuring a batch again replaces its rows. A measurement is taken
+    when all queries of the monitor have finished the trigger, so that they have seen the same rows.
     """
-    done = -1
+    done = None
     while True:
         running = any(q.isActive for q in monitor.queries)
-        progress = monitor.partials.lastProgress
-        if progress is not None and progress["batchId"] > done and not _lagging(monitor, running):
-            done = progress["batchId"]
-            append_measurements(monitor.measure(clock()), log_path, batch_id=done)
+        newest = monitor._newest_batch()
+        if newest is not None and newest != done and monitor._quiet():
+            append_measurements(monitor.measure(clock()), log_path, batch_id=newest)
             monitor.keep_state()
+            done = newest
         if not running:
             return
         time.sleep(poll_seconds)
-
-
-def _lagging(monitor: Monitor, running: bool) -> bool:
-    """Whether a keyed query has not finished the batch that the partials have."""
-    if not running:
-        return False
-    target = monitor.partials.lastProgress["batchId"]
-    return any(
-        q.lastProgress is None or q.lastProgress["batchId"] < target
-        for q, _, _ in monitor.keyed.values()
-    )
