@@ -162,6 +162,7 @@ def test_chunked_series_give_the_same_result(spark, chunk, baseline):
             day += rng.choice([0, 1, 1, 2, 40] if s % 2 else [1])
             value = rng.choice([None, rng.uniform(0, 100)]) if s == 3 else rng.uniform(0, 100)
             rows.append((dt.date(2022, 1, 1) + dt.timedelta(days=day), f"m{s}", value, "s"))
+        rows += [(None, f"m{s}", float(n), "s") for n in range(3)]
     staged = stage_metrics(spark.createDataFrame(rows, RAW_METRICS)).cache()
     whole = rolling_stats(staged, baseline=baseline)
     assert same_rows(whole, rolling_stats(staged, baseline=baseline, chunk=chunk))

@@ -149,6 +149,8 @@ def test_exact_quantiles_on_awkward_groups(spark):
         "smooth": [rng.random() for _ in range(20000)],
     }
     rows = [(k, v) for k, values in groups.items() for v in values] + [("one", None), ("no", None)]
+    groups[None] = [3.0, 1.0, 2.0]
+    rows += [(None, v) for v in groups[None]]
     frame = spark.createDataFrame(rows, "k string, v double").repartition(8)
     wanted = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99, "high": 1.0}
     for margin in (0.002, 0.1):

@@ -4,8 +4,8 @@ A window group is sorted and evaluated by one task. Two things can make one larg
 
 * a long series: it is cut at calendar boundaries, and each chunk gets a copy of the few rows that
   precede it (``with_carried_rows``), so that a trailing frame sees the same rows as before;
-* very many copies of one row: once a frame is filled with copies, every further copy has the same
-  result, so it is enough to evaluate the first few and repeat the last (``merge_copies``).
+* very many copies of one row: once a frame is filled with copies, every further copy has the same,
+  known result, so only the first few need to be in the window (``split_copies``).
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions.joins import null_safe_join
+
 CHUNK = "__chunk"
 CARRIED = "__carried"
-REPEATS = "__repeats"
 REPEAT_BLOCK = 100_000
 PIECES = 128
 
@@ -88,12 +89,13 @@ def _cut(
     passed = F.size(F.filter("__busy", lambda b: b["at"] < F.col(order)))
     stretch = 2 * passed + F.size(here)
     piece = F.size(F.filter(here[0]["edges"], lambda edge: edge < F.col(tie)))
-    placed = df.withColumn("__period", period)
-    same = [placed[k].eqNullSafe(busy[k]) for k in keys]
-    return placed.join(busy, [*same, placed["__period"] == busy["__period"]], "left").select(
-        *(placed[c] for c in df.columns),
+    placed = null_safe_join(
+        df.withColumn("__period", period), busy, [*keys, "__period"], "left"
+    )
+    return placed.select(
+        *df.columns,
         F.struct(
-            placed["__period"].alias("period"),
+            F.col("__period").alias("period"),
             F.when(F.col("__busy").isNotNull(), stretch).otherwise(F.lit(0)).alias("stretch"),
             F.when(F.size(here) > 0, piece).otherwise(F.lit(0)).alias("piece"),
         ).alias(CHUNK),
@@ -104,39 +106,34 @@ def drop_carried(df: DataFrame) -> DataFrame:
     return df.where(~F.col(CARRIED)).drop(CHUNK, CARRIED)
 
 
-def merge_copies(df: DataFrame, reach: int) -> DataFrame:
-    """Keep at most ``reach + 1`` of the rows that are equal in all columns.
+def split_copies(df: DataFrame, reach: int) -> tuple[DataFrame, DataFrame]:
+    """Split the rows into the first ``reach`` copies of every row and the further copies.
 
-    The column ``REPEATS`` of the last one kept says for how many rows it stands (1 elsewhere). Copies
-    are counted per task before the shuffle. ``repeat_rows`` brings them back.
+    Rows are copies if they are equal in all columns. They are counted per task before the shuffle. A
+    frame of ``reach`` rows before a further copy holds copies only, so its result is known without
+    a window. Many further copies of one row are written out by many tasks.
     """
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    kept = F.least("__copies", F.lit(reach + 1))
-    return (
-        counted.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), kept)))
+    copies = F.col("__copies")
+    first = counted.withColumn("__copies", F.least(copies, F.lit(reach)))
+    further = (
+        counted.where(copies > reach)
+        .withColumn("__copies", copies - reach)
         .withColumn(
-            REPEATS,
-            F.when(F.col("__copy") <= reach, F.lit(1).cast("long"))
-            .otherwise(F.col("__copies") - reach),
+            "__block",
+            F.explode(
+                F.sequence(
+                    F.lit(0).cast("long"), F.floor((copies - 1) / REPEAT_BLOCK).cast("long")
+                )
+            ),
         )
-        .drop("__copies", "__copy")
-    )
-
-
-def repeat_rows(df: DataFrame) -> DataFrame:
-    """Write out every row ``REPEATS`` times. Long repetitions are spread over tasks in blocks."""
-    repeats, block = F.col(REPEATS), F.lit(REPEAT_BLOCK)
-    last_block = F.floor((repeats - 1) / block).cast("long")
-    long = (
-        df.where(repeats > block)
-        .withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
         .repartition("__block", *df.columns)
-        .withColumn(REPEATS, F.least(block, repeats - F.col("__block") * block))
+        .withColumn("__copies", F.least(F.lit(REPEAT_BLOCK), copies - F.col("__block") * REPEAT_BLOCK))
         .drop("__block")
     )
-    short = df.where(repeats <= block)
-    return (
-        short.unionByName(long)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), repeats)))
-        .drop("__copy", REPEATS)
-    )
+    return _repeat(first), _repeat(further)
+
+
+def _repeat(df: DataFrame) -> DataFrame:
+    numbers = F.sequence(F.lit(1).cast("long"), F.col("__copies").cast("long"))
+    return df.withColumn("__copy", F.explode(numbers)).drop("__copy", "__copies")

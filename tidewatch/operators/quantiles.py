@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions.joins import null_safe_join
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -44,7 +46,9 @@ def exact_quantiles(
         lambda a, b: a + b,
         (F.when(F.col("__edges")[i] <= v, 1).otherwise(0) for i in range(len(steps))),
     )
-    placed = counted.join(edges, keys).select(*keys, value, "__copies", piece.alias("__piece"))
+    placed = null_safe_join(counted, edges, keys).select(
+        *keys, value, "__copies", piece.alias("__piece")
+    )
 
     # positions covered by every piece of a group: a handful of rows per group
     in_order, whole = Window.partitionBy(*keys).orderBy("__piece"), Window.partitionBy(*keys)
@@ -66,7 +70,7 @@ def exact_quantiles(
 
     inside = Window.partitionBy(*keys, "__piece").orderBy(value)
     end = F.col("__before") + F.sum(copies).over(inside)
-    ranked = placed.join(needed, [*keys, "__piece"]).select(
+    ranked = null_safe_join(placed, needed, [*keys, "__piece"]).select(
         *keys, value, "__n", (end - copies).alias("__from"), end.alias("__to")
     )
 

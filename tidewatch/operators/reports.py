@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions.joins import null_safe_join
 from tidewatch.functions.text import short_name
 from tidewatch.operators.drift import ALERT_COLUMNS, DRIFT_COLUMNS, SEVERITIES, severity_rank
 from tidewatch.operators.health import health_breakdown, health_score
@@ -161,7 +162,7 @@ def zscore_distribution(drift: DataFrame) -> DataFrame:
     quartiles = exact_quantiles(
         known, ["metric_name"], "z_score", {"q1": 0.25, "median": 0.5, "q3": 0.75}
     )
-    return moments.join(quartiles, "metric_name").select(
+    return null_safe_join(moments, quartiles, ["metric_name"]).select(
         "metric_name", "n", "mean_z", "min_z", "q1", "median", "q3", "max_z"
     )
 
@@ -223,7 +224,7 @@ def alert_insights(
     keys = ["metric_date", "metric_name", "segment"]
     pick = F.max("ai_insight") if newest is None else F.max_by("ai_insight", newest)
     chosen = insights.groupBy(*keys).agg(pick.alias("ai_insight"))
-    return alerts.join(chosen, keys, "left").withColumn(
+    return null_safe_join(alerts, chosen, keys, "left").withColumn(
         "ai_insight", F.coalesce("ai_insight", F.lit(""))
     )
 

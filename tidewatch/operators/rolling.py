@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.numeric import day_of_week, is_weekend
 from tidewatch.operators.frames import (
     drop_carried,
-    merge_copies,
-    repeat_rows,
+    split_copies,
     with_carried_rows,
 )
 
@@ -74,7 +73,7 @@ def rolling_stats(
     reach = window if prior else window - 1
 
     if copies == "merged":
-        df = merge_copies(df, reach)
+        df, further = split_copies(df, reach)
     groups = list(keys)
     if chunk:
         df, chunk_column = with_carried_rows(
@@ -102,5 +101,8 @@ def rolling_stats(
 
     if chunk:
         rolled = drop_carried(rolled)
-    rolled = rolled.withColumn("z_score", z)
-    return repeat_rows(rolled) if copies == "merged" else rolled
+    if copies == "merged":
+        # a frame of equal values: their mean, no deviation
+        known = {avg: v, std: F.when(v.isNotNull(), F.lit(0.0)), n: F.lit(window).cast("long")}
+        rolled = rolled.unionByName(further.withColumns(known))
+    return rolled.withColumn("z_score", z)
