@@ -90,6 +90,16 @@ def test_feed(tables):
     )
 
 
+def test_far_pages_are_sorted_not_collected(tables):
+    def plan(page):
+        frame = r.alert_feed_page(tables.alerts, page)
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    assert "TakeOrderedAndProject" in plan(2)
+    assert "TakeOrderedAndProject" not in plan(1_000_000)
+    assert r.alert_feed_page(tables.alerts, 1_000_000).isEmpty()
+
+
 def test_insight_join(tables, spark):
     first = tables.alerts.orderBy("metric_date", "metric_name", "segment").first()
     key = (first.metric_date, first.metric_name, first.segment)

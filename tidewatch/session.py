@@ -6,13 +6,19 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# What the operators rely on: adaptive re-planning (partition coalescing, skewed joins) and a fixed
-# zone for timestamps that carry one. Sizes (shuffle partitions, split bytes) belong to the cluster.
+# What the operators rely on: adaptive re-planning (partition coalescing, skewed joins), a fixed zone
+# for timestamps that carry one, state of streams on disk instead of in executor memory, and a sort
+# instead of a collected top-k for pages far down a feed. Sizes (shuffle partitions, split bytes)
+# belong to the cluster.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }
 
 
