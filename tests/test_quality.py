@@ -174,6 +174,15 @@ def test_weights_and_clamp(spark):
     assert half.score == 98  # 97.5 rounds to the even neighbour
 
 
+def test_own_rules_and_missing_types(spark, log_of):
+    rules = (q.Rule("%my_check%", "v < 0 or v > 5", "warn", "{value} in {table}"),)
+    log = log_of(measurement("MY_CHECK", 9.0), measurement("OTHER", -1.0), rules=rules)
+    assert [(r.quality_status, r.quality_note) for r in log.collect()] == [
+        ("warn", "9 in T"), ("pass", "OK")
+    ]
+    assert h.health_score(log.drop("check_type")).first().deduction == 2.0
+
+
 def test_score_history_uses_each_day_alone(log_of):
     rows = []
     for n in range(30):

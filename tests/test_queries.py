@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as driver
 from workload.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="needs the given tables")
 
 
 @pytest.fixture(scope="module")

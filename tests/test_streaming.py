@@ -7,6 +7,7 @@ import pytest
 from tidewatch.operators import checks as c
 from tidewatch.operators.suite import Suite, run_checks
 from tidewatch.plans.default_suites import drift_suite, raw_suite
+from tidewatch.session import CLUSTER_SETTINGS
 from tidewatch.sources.tables import read_measurements
 from tidewatch.streaming.monitor import keep_measuring, start_monitor, stream_table
 
@@ -44,6 +45,20 @@ def test_stream_equals_batch_and_resumes(spark, tables, tmp_path, name):
     assert same_rows(monitored().measure(AT), run_checks(everything, suite, AT))
 
 
+def test_state_on_disk(spark, tables, tmp_path):
+    path = str(tmp_path / "table")
+    tables.drift.repartition(4).write.parquet(path)
+    try:
+        for key, value in CLUSTER_SETTINGS.items():
+            spark.conf.set(key, value)
+        stream = stream_table(spark, path, tables.drift.schema, files_per_batch=2)
+        monitor = start_monitor(stream, drift_suite()).wait()
+        assert same_rows(monitor.measure(AT), run_checks(tables.drift, drift_suite(), AT))
+    finally:
+        for key in CLUSTER_SETTINGS:
+            spark.conf.unset(key)
+
+
 def test_nothing_arrived(spark, tables, tmp_path):
     path = tmp_path / "table"
     path.mkdir()

@@ -38,6 +38,9 @@ def with_deductions(
     deductions: Mapping[str, float] = DEDUCTIONS,
     multipliers: Mapping[str, float] = MULTIPLIERS,
 ) -> DataFrame:
+    """Add the points lost per row. A log without check types counts as custom throughout."""
+    if "check_type" not in log.columns:
+        log = log.withColumn("check_type", F.lit("custom"))
     lost = _from_map(F.col("quality_status"), deductions, 0.0) * _from_map(
         F.col("check_type"), multipliers, 1.0
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -26,7 +27,8 @@ class Rule:
     note: str | None = None  # slots: {value}, {table}
 
     def applies(self) -> str:
-        return f"dmf_name ilike {sql_text(self.pattern)} and {self.violated.replace('v', 'dmf_value', 1)}"
+        violated = re.sub(r"\bv\b", "dmf_value", self.violated)
+        return f"dmf_name ilike {sql_text(self.pattern)} and ({violated})"
 
 
 # fixed values: verdict rules by check name, first match wins, with the text of the note

@@ -83,10 +83,10 @@ class Suite:
         for i, b in series:
             merged.append(b.check.finish(_lookup(i), **b.parameters).alias(f"m{i}"))
         wide = frame.agg(*merged)
-        return wide.select(
-            *(b.check.finished(F.col(f"r{i}"), b).alias(f"m{i}") for i, b in self.of_family(RowCheck)),
-            *(f"m{i}" for i, _ in series),
-        )
+        finished = [
+            b.check.finished(F.col(f"r{i}"), b).alias(f"m{i}") for i, b in self.of_family(RowCheck)
+        ]
+        return wide.select(*finished, *(f"m{i}" for i, _ in series))
 
     def measure_keyed(self, df: DataFrame, i: int) -> DataFrame:
         """One-row frame with the column ``m<i>``."""
@@ -107,7 +107,10 @@ class Suite:
                 sql_text(b.check.schema), sql_text(b.name), sql_text(b.column_text),
                 f"cast(m{i} as double)",
             ]
-        rows = f"stack({len(which)}, {', '.join(cells)}) as (metric_schema, metric_name, columns, value)"
+        rows = (
+            f"stack({len(which)}, {', '.join(cells)}) "
+            "as (metric_schema, metric_name, columns, value)"
+        )
         constants = [
             f"{sql_text(self.database)} as table_database",
             f"{sql_text(self.schema)} as table_schema",

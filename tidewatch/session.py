@@ -7,18 +7,23 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # What the operators rely on: adaptive re-planning (partition coalescing, skewed joins), a fixed zone
-# for timestamps that carry one, state of streams on disk instead of in executor memory, and a sort
-# instead of a collected top-k for pages far down a feed. Sizes (shuffle partitions, split bytes)
-# belong to the cluster.
+# for timestamps that carry one, and a sort instead of a collected top-k for pages far down a feed.
+# Sizes (shuffle partitions, split bytes) belong to the cluster.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.topKSortFallbackThreshold": "100000",
+}
+
+# State of streams on disk instead of in executor memory, as distinct keys grow with the data. It costs
+# time on small data, so local sessions do without.
+CLUSTER_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    "spark.sql.execution.topKSortFallbackThreshold": "100000",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -27,7 +32,8 @@ def build_session(app: str = "tidewatch", master: str | None = None, **extra: st
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    local = master is not None and master.startswith("local")
+    for key, value in (SETTINGS if local else SETTINGS | CLUSTER_SETTINGS).items():
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -444,7 +444,8 @@ CTES["measurements"] = union(
 def _rule_case(what: str) -> str:
     whens = []
     for rule in DEFAULT_RULES:
-        hit = f"dmf_name ilike '{rule.pattern}' and " + rule.violated.replace("v", "dmf_value", 1)
+        violated = re.sub(r"\bv\b", "dmf_value", rule.violated)
+        hit = f"dmf_name ilike '{rule.pattern}' and ({violated})"
         if what == "status":
             whens.append(f"when {hit} then {quote(rule.status)}")
         elif rule.note is not None:
