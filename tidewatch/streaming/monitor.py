@@ -74,9 +74,9 @@ class Monitor:
         with_rows = [p["batchId"] for p in self.partials.recentProgress if p["numInputRows"] > 0]
         return max(with_rows, default=None)
 
-    def _ran(self) -> bool:
-        # the in-memory table is filled by the first batch of a run, not by starting the query
-        return self._newest_batch() is not None
+    def _filled(self) -> bool:
+        # the first batch of a run fills the in-memory table, starting the query does not
+        return not self.spark.table(self.name).isEmpty()
 
     def _quiet(self) -> bool:
         """Whether no query is in the middle of a batch."""
@@ -84,17 +84,12 @@ class Monitor:
 
     def _last_batch(self) -> int | None:
         """Number of the last finished batch of all runs."""
-        try:
-            finished = self.spark.read.text(f"{self.folder}/partials/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return finished.select(F.max(F.col("_metadata.file_name").cast("long"))).first()[0]
+        progress = self.spark.read.format("state-metadata").load(f"{self.folder}/partials")
+        return progress.agg(F.max("maxBatchId")).first()[0]
 
     def keep_state(self) -> None:
         """Write the per-date partial aggregates next to the progress, for a run without new rows."""
-        if self._ran():
+        if self._filled():
             path = f"{self.folder}/state/batch-{self._last_batch()}"
             self.spark.table(self.name).write.mode("overwrite").parquet(path)
 
@@ -102,7 +97,7 @@ class Monitor:
         """The per-date partial aggregates after the last finished batch."""
         current = self.spark.table(self.name)
         last = self._last_batch()
-        if self._ran() or last is None:
+        if last is None or self._filled():
             return current
         try:
             return self.spark.read.schema(current.schema).parquet(
