@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.llm.jaccard_join import jaccard_components
+from tidewatch.llm.line_frequency import quality_rules
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.sharding import shard_rows
 from tidewatch.llm.token_files import token_output
 from tidewatch.llm.url_filters import Rule, judge_urls, url_host
+from tidewatch.llm.warc import warc_round_trip
 
 RULES = [
     Rule("net", "/", "block"),
@@ -17,6 +20,9 @@ RULES = [
     Rule("org", "/fr/", "allow"),
 ]
 
+#: Hosts that the key list of op9 holds.
+UNWANTED = r"(^|[.-])(ads|adult|bets|casino|pills|porn|spam)([.-]|$)"
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -33,14 +39,29 @@ def op1_token_output(spark: SparkSession, sf: str) -> DataFrame:
     return token_output(table(spark, sf, "documents"), vocabulary(), end_id=2)
 
 
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf, "pages"))
+
+
+def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_components(table(spark, sf, "documents"), n=3, percent=90)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), vocabulary(), capacity=2048, end_id=0)
 
 
 def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
-    """Rules and a key list: no given table holds a list, so mobile mirrors (``m.``) stand for one."""
+    """Rules, then a key list: the corpus's hosts that have a word for spam or advertising in a label."""
     pages = table(spark, sf, "pages").select("page_id", "url")
-    listed = pages.select(url_host(F.col("url")).alias("key")).where(F.col("key").startswith("m."))
+    listed = pages.select(url_host(F.col("url")).alias("key")).where(F.col("key").rlike(UNWANTED))
     return judge_urls(pages, RULES, listed.distinct()).drop("url")
 
 
@@ -56,6 +77,9 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 REGISTERED = {
     "op1_token_output": op1_token_output,
+    "op4_warc": op4_warc,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
@@ -83,7 +107,7 @@ with parts as (
     from fits qualify row_number() over (partition by host, path order by length(rule) desc) = 1
 )
 select page_id, p.host, p.path, rule,
-       coalesce(rule_verdict, case when starts_with(p.host, 'm.') then 'block' else 'allow' end) as verdict
+       coalesce(rule_verdict, case when regexp_matches(p.host, '{UNWANTED}') then 'block' else 'allow' end) as verdict
 from parts p left join best b on p.host = b.host and p.path = b.path
 """
 
