@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.llm.decontamination import contaminated
 from tidewatch.llm.jaccard_join import jaccard_components
 from tidewatch.llm.line_frequency import quality_rules
 from tidewatch.llm.packing import pack_documents
@@ -39,6 +40,10 @@ def op1_token_output(spark: SparkSession, sf: str) -> DataFrame:
     return token_output(table(spark, sf, "documents"), vocabulary(), end_id=2)
 
 
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc_round_trip(table(spark, sf, "pages"))
 
@@ -77,6 +82,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 REGISTERED = {
     "op1_token_output": op1_token_output,
+    "op3_decontamination": op3_decontamination,
     "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
