@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.decontamination import contaminated
 from tidewatch.llm.jaccard_join import jaccard_components
+from tidewatch.llm.language import fit, held_out, identify, learnable
 from tidewatch.llm.line_frequency import quality_rules
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.sharding import shard_rows
+from tidewatch.llm.style_tree import extract_text
 from tidewatch.llm.token_files import token_output
 from tidewatch.llm.url_filters import Rule, judge_urls, url_host
 from tidewatch.llm.warc import warc_round_trip
@@ -40,6 +42,12 @@ def op1_token_output(spark: SparkSession, sf: str) -> DataFrame:
     return token_output(table(spark, sf, "documents"), vocabulary(), end_id=2)
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    texts = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    return identify(texts, fit(learnable(docs))).drop("text")
+
+
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -59,6 +67,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(table(spark, sf, "documents"), n=3, percent=90)
 
 
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(table(spark, sf, "pages").select("page_id", "url", "html"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), vocabulary(), capacity=2048, end_id=0)
 
@@ -82,10 +94,12 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 REGISTERED = {
     "op1_token_output": op1_token_output,
+    "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_html_extraction": op7_html_extraction,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
