@@ -75,10 +75,10 @@ class Encoder:
             and not setup["model"].get("dropout") and split.get("type") == "ByteLevel"
             and split.get("use_regex") and not split.get("add_prefix_space")
         )
-        self.slots, self.shift = slots, np.uint64(64 - (slots.bit_length() - 1))
-        self._clear()
+        self._clear(slots)
 
-    def _clear(self) -> None:
+    def _clear(self, slots: int) -> None:
+        self.slots, self.shift = slots, np.uint64(64 - (slots.bit_length() - 1))
         self.keys = np.zeros(self.slots, np.uint64)
         self.begin = np.zeros(self.slots, np.int32)
         self.length = np.zeros(self.slots, np.int32)
@@ -188,7 +188,8 @@ class Encoder:
     def _learn(self, joined: str, begins, ends, hashes) -> None:
         hashes, first = np.unique(hashes, return_index=True)
         if self.known + len(hashes) > self.slots // 2:
-            self._clear()
+            # start anew; in a larger table if this block alone has too many pieces
+            self._clear(max(self.slots, 1 << (4 * len(hashes)).bit_length()))
         pieces = [joined[b:e] for b, e in zip(begins[first], ends[first], strict=True)]
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         lists = [x.ids for x in found]
