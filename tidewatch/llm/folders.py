@@ -45,12 +45,12 @@ def create(uri: str):
     """An output stream to a new file; its folder is made if need be."""
     system, path = _place(uri)
     system.create_dir(os.path.dirname(path), recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)  # not by the name
 
 
 def open_stream(uri: str):
     system, path = _place(uri)
-    return system.open_input_stream(path)
+    return system.open_input_stream(path, compression=None)
 
 
 def open_random(uri: str):
