@@ -4,7 +4,7 @@ The pages of a host are merged into one tree whose nodes are element paths (tags
 digits aside). Each node has an importance from entropies over the host's pages. Presentation: how
 varied its children's tags are. Content: a text that stands in one page of m counts 1, one that
 stands in all of them 0 (one less the logarithm, to base m, of the pages that hold it), averaged over
-all texts under the node. Branches of low importance are taken out of each page.
+all texts under the node. Branches in which all nodes are of low importance are taken out of each page.
 
 Elements whose role HTML itself or their class names tell (menus, page headers and footers, asides,
 notices, adverts, forms, comments, scripts) are taken out without statistics, as small hosts have
@@ -302,11 +302,7 @@ def node_importance(pages: DataFrame, damping: float = 0.9) -> DataFrame:
         F.col("texts") - F.col("shared") / F.greatest(base, F.lit(1e-9))
     )
     nodes = sums.select("host", "path", "pages", presentation.alias("presentation"), "texts", content.alias("kept"))
-    parts = F.split("path", ">")
-    above = F.transform(
-        F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), ">")
-    )
-    spread = nodes.where("texts > 0").select("host", F.explode(above).alias("path"), "texts", "kept")
+    spread = nodes.where("texts > 0").select("host", F.explode(_ancestors("path")).alias("path"), "texts", "kept")
     under = spread.groupBy("host", "path").agg((F.sum("kept") / F.sum("texts")).alias("content"))
     joint = F.when(F.col("content").isNull(), F.col("presentation")).otherwise(
         (1 - damping) * F.col("presentation") + damping * F.col("content")
@@ -316,11 +312,27 @@ def node_importance(pages: DataFrame, damping: float = 0.9) -> DataFrame:
     )
 
 
+def _ancestors(path: str) -> F.Column:
+    """The paths of a node and of all nodes above it."""
+    parts = F.split(path, ">")
+    return F.transform(
+        F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), ">")
+    )
+
+
+def noise(nodes: DataFrame, least_importance: float, least_pages: int) -> DataFrame:
+    """(host, path) of branches in which no node is important, nor too rare to be judged."""
+    judged = F.when(F.col("pages") < least_pages, 1.0).otherwise(F.col("importance"))
+    return nodes.select("host", F.explode(_ancestors("path")).alias("path"), judged.alias("importance")).groupBy(
+        "host", "path"
+    ).agg(F.max("importance").alias("most")).where(F.col("most") < least_importance).drop("most")
+
+
 def extract_text(pages: DataFrame, least_importance: float = 0.3, least_pages: int = 10) -> DataFrame:
     """``pages`` (url, html) with ``text`` and ``n_chars`` in place of the html."""
-    low = node_importance(pages).where(
-        (F.col("pages") >= least_pages) & (F.col("importance") < least_importance)
-    ).groupBy(F.col("host").alias("__host")).agg(F.collect_set("path").alias("__low"))
+    low = noise(node_importance(pages), least_importance, least_pages).groupBy(
+        F.col("host").alias("__host")
+    ).agg(F.collect_set("path").alias("__low"))
     rows = pages.drop("text", "n_chars").withColumns(
         {"__host": url_host(F.col("url")), "html": F.col("html").cast("string")}
     ).join(low, "__host", "left").drop("__host")

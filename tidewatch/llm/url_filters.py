@@ -22,8 +22,8 @@ from tidewatch.llm.folders import written
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: From so few keys on, a level takes as many bits as the last ones need to leave nothing wrong.
-LAST_KEYS = 4096
+#: From so few keys on, a level after the first takes as many bits as the last ones need to leave nothing wrong.
+LAST_KEYS = 512
 
 #: Bits that the filters of a cascade may take together before ``listed_by_cascade`` joins instead.
 MAX_BITS = 1 << 26
@@ -153,7 +153,7 @@ def build_cascade(
     count, other, side, used = n_in, n_out, True, 0
     while count:
         level_rate = first_rate if not levels else rate
-        if count <= LAST_KEYS:
+        if levels and count <= LAST_KEYS:
             level_rate = min(level_rate, 0.05 / max(1, other))
         used += count * math.log(1 / level_rate) / math.log(2) ** 2
         if used > max_bits:
