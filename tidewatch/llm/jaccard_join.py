@@ -5,9 +5,11 @@ sizes are near and they share one of the rarest few n-grams of each, which is a
 0.9. So the columns are ordered rare first, by a count sketch over all documents, and the product is
 taken in two steps:
 
-1. Columns among each class's rarest. Classes that meet in a column within the size bound are
-   tied together; where very many meet, a chain through them in order of size is enough, as any two
-   that could link lie in the same chain. This gives blocks: sets of classes beyond which no link goes.
+1. Columns among each class's rarest. Classes that meet in such a column, within the size bound, are
+   candidates; each set also has a bitmap of parities, of half as many bits as it has n-grams at
+   least, and as each n-gram in one set alone flips at most one bit, the bits by which two bitmaps
+   differ bound the overlap from above. What is left makes blocks: sets of classes beyond which no
+   link goes. Where many classes meet, the bitmaps are compared in tiles, see below.
 2. Within a block, the product proper: overlap counts are accumulated over all columns, and pairs
    below the bounds that follow from their sizes are discarded. Large blocks are cut into tiles by
    size and hash, and each pair of tiles within the size bound is a product of its own.
@@ -43,7 +45,7 @@ SKETCH_BITS = 18
 SLICE = 4096
 REST = np.uint64(64 - SKETCH_BITS)
 LOW = np.uint64((1 << (64 - SKETCH_BITS)) - 1)
-#: Up to so many classes, the pairs of a column are bounded one by one; beyond, they are chained.
+#: Up to so many classes, the pairs of a column are rows; beyond, they are compared within a tile.
 PAIRED = 8
 #: Classes in a tile of the product, about.
 TILE = 4096
@@ -73,6 +75,21 @@ def class_of(grams: np.ndarray) -> int:
         return int(mix(np.array([total + np.uint64(len(grams))]))[0].view(np.int64))
 
 
+def parities(grams: np.ndarray) -> bytes:
+    """A bitmap with a bit for each remainder of the hashes, set if an odd number of them has it."""
+    size = max(64, 1 << (len(grams) // 2).bit_length())
+    odd = np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (in the last axis) as if made with fewer remainders."""
+    while bits.shape[-1] > size:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     texts = as_strings(batch.column("text"))
     for begin, end in row_blocks(texts):
@@ -97,7 +114,7 @@ def _survey(docs: DataFrame, n: int) -> DataFrame:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         schema = pa.schema([
             ("doc_id", pa.int64()), ("text_key", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()),
-            ("slice", pa.int32()), ("counts", pa.binary()),
+            ("bits", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary()),
         ])
         for batch in batches:
             for begin, sets in _sets(batch, n):
@@ -109,16 +126,17 @@ def _survey(docs: DataFrame, n: int) -> DataFrame:
                     batch.column("doc_id").slice(begin, rows), batch.column("text_key").slice(begin, rows),
                     pa.array([class_of(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([parities(s) for s in sets], pa.binary()),
                     pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
                 ], schema=schema)
         parts = sketch.reshape(-1, SLICE).astype("<i8")
         yield pa.RecordBatch.from_arrays([
-            *(pa.nulls(len(parts), pa.int64()) for _ in range(4)),
+            *(pa.nulls(len(parts), pa.int64()) for _ in range(4)), pa.nulls(len(parts), pa.binary()),
             pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()),
         ], schema=schema)
 
     return _texts(docs).mapInArrow(
-        run, "doc_id long, text_key long, cls long, n long, slice int, counts binary"
+        run, "doc_id long, text_key long, cls long, n long, bits binary, slice int, counts binary"
     )
 
 
@@ -188,68 +206,135 @@ def _columns(docs: DataFrame, ranks, n: int, percent: int) -> DataFrame:
     return _texts(docs).mapInArrow(run, "gram long, cls long, n int, place int")
 
 
-def _tie(columns: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) between classes that may link, or lie on a chain between two that may."""
+def _meet(columns: DataFrame, percent: int) -> DataFrame:
+    """Where classes meet: pairs (a, b) of columns that few have, members (gram, a) of others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {k: np.zeros(0, np.int64) for k in ("gram", "cls", "n", "place")}
-        found, size = [], 0
+        long = None  # the column that the last batch ended in, if it has too many classes for pairs
         for batch in batches:
             rows = {k: np.concatenate([v, np.asarray(batch.column(k)).astype(np.int64)])
                     for k, v in held.items()}
-            # a last column may go on; of a long one, its end is enough to go on with
+            # the last column may go on; of a long one, what is known can be written already
             tail = int(np.searchsorted(rows["gram"], rows["gram"][-1]))
-            edges = _column_edges({k: v[:tail] for k, v in rows.items()}, percent)
-            if len(rows["gram"]) - tail > 50_000:
-                last = {k: v[tail:] for k, v in rows.items()}
-                found.append(edges)
-                edges = _chain_edges(last, np.ones(len(last["gram"]), bool), percent)
-                tail = len(rows["gram"]) - PAIRED - 1
-            held = {k: v[tail:] for k, v in rows.items()}
-            found.append(edges)
-            size += len(edges[0])
-            if size > 500_000:
-                yield from _forest(found)
-                found, size = [], 0
-        found.append(_column_edges(held, percent))
-        yield from _forest(found)
+            last = {k: v[tail:] for k, v in rows.items()}
+            yield from _meetings({k: v[:tail] for k, v in rows.items()}, long, percent)
+            if tail:
+                long = None
+            if len(last["gram"]) > PAIRED:
+                long = int(last["gram"][0])
+                yield from _meetings(last, long, percent)
+                last = {k: v[:0] for k, v in last.items()}
+            held = last
+        yield from _meetings(held, long, percent)
 
     ordered = columns.repartition("gram").sortWithinPartitions("gram", "n", "cls")
-    return ordered.mapInArrow(run, "a long, b long")
-
-
-def _forest(found: list) -> Iterator[pa.RecordBatch]:
-    a = np.concatenate([x for x, _ in found])
-    b = np.concatenate([x for _, x in found])
-    if len(a):
-        node, root = local_roots(a, b)
-        yield pa.RecordBatch.from_pydict({"a": node, "b": root})
+    return ordered.mapInArrow(run, "gram long, a long, b long, n int")
 
 
-def _chain_edges(rows: dict, chained: np.ndarray, percent: int):
-    near = (
-        chained[1:] & chained[:-1] & (rows["gram"][1:] == rows["gram"][:-1])
-        & (100 * rows["n"][:-1] >= percent * rows["n"][1:])
-    )
-    return rows["cls"][:-1][near], rows["cls"][1:][near]
-
-
-def _column_edges(rows: dict, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _meetings(rows: dict, long: int | None, percent: int) -> Iterator[pa.RecordBatch]:
+    """``long``: a column whose first rows were written before."""
     gram = rows["gram"]
     if not len(gram):
-        return gram, gram
+        return
     starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
     sizes = np.diff(np.append(starts, len(gram)))
-    many = np.repeat(sizes > PAIRED, sizes)
-    parts = [_chain_edges(rows, many, percent)]
+    many = np.repeat((sizes > PAIRED) | (gram[starts] == (gram[0] - 1 if long is None else long)), sizes)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(gram[many]), pa.array(rows["cls"][many]), pa.nulls(int(many.sum()), pa.int64()),
+         pa.array(rows["n"][many].astype(np.int32))], names=["gram", "a", "b", "n"],
+    )
     for step in range(1, PAIRED):  # pairs of neighbours at each distance
         x = np.flatnonzero((gram[:-step] == gram[step:]) & ~many[:-step])
         y = x + step
         nx, ny, px, py = rows["n"][x], rows["n"][y], rows["place"][x], rows["place"][y]
         most = np.minimum(px, py) + 1 + np.minimum(nx - px, ny - py) - 1
         fits = (100 * nx >= percent * ny) & (most >= least_overlap(nx, ny, percent))
-        parts.append((rows["cls"][x[fits]], rows["cls"][y[fits]]))
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        a, b = rows["cls"][x[fits]], rows["cls"][y[fits]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(a), pa.int64()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
+             pa.nulls(len(a), pa.int32())], names=["gram", "a", "b", "n"],
+        )
+
+
+def _near_pairs(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose bitmaps allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nx, ny = (np.asarray(batch.column(k)) for k in ("nx", "ny"))
+            most = nx + ny - 2 * least_overlap(nx, ny, percent)
+            good = np.zeros(len(batch), bool)
+            for k, (x, y) in enumerate(
+                zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
+            ):
+                size = min(len(x), len(y))
+                u, v = (folded(np.frombuffer(z, np.uint8), size) for z in (x, y))
+                good[k] = np.bitwise_count(u ^ v).sum() <= most[k]
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    one = bitmaps.select(F.col("cls").alias("a"), F.col("n").alias("nx"), F.col("bits").alias("x"))
+    other = bitmaps.select(F.col("cls").alias("b"), F.col("n").alias("ny"), F.col("bits").alias("y"))
+    return pairs.join(one, "a").join(other, "b").select("a", "b", "nx", "x", "ny", "y").mapInArrow(
+        run, "a long, b long"
+    )
+
+
+def _near_in_tiles(rows: DataFrame, percent: int) -> DataFrame:
+    """Edges between classes of each unit whose bitmaps allow a link; ``rows``: unit, side, cls, n, bits."""
+
+    def multiply(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        cls, n, side, unit = (table.column(k).to_numpy() for k in ("cls", "n", "side", "unit"))
+        bits = table.column("bits").to_pylist()
+        widths = np.array([len(x) for x in bits], np.int64)
+        found = [(cls[:0], cls[:0])]
+        for u in np.unique(unit):
+            here = np.flatnonzero(unit == u)
+            here = here[np.argsort(n[here], kind="stable")]
+            crossed = side[here].any()
+            for width in np.unique(widths[here]):
+                # a partner of up to a ninth more has bits as many, or twice as many
+                rows = here[(widths[here] == width) | (widths[here] == 2 * width)]
+                m = np.stack([folded(np.frombuffer(bits[r], np.uint8), width).view(np.uint64) for r in rows])
+                own = widths[rows] == width
+                reach = np.searchsorted(n[rows], n[rows] * 100 // percent, "right")
+                for i in np.flatnonzero(own):
+                    j = slice(i + 1, reach[i])
+                    if j.start >= j.stop:
+                        continue
+                    ny = n[rows[j]]
+                    most = n[rows[i]] + ny - 2 * least_overlap(n[rows[i]], ny, percent)
+                    good = np.bitwise_count(m[j] ^ m[i]).sum(axis=1) <= most
+                    if crossed:
+                        good &= side[rows[j]] != side[rows[i]]
+                    b = cls[rows[j][good]]
+                    found.append((np.full(len(b), cls[rows[i]]), b))
+                    if len(found) > 2000:
+                        found = [local_roots(*(np.concatenate(p) for p in zip(*found, strict=True)))]
+        a, b = local_roots(*(np.concatenate(p) for p in zip(*found, strict=True)))
+        if len(a):
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+
+    ordered = rows.repartition("unit").sortWithinPartitions("unit")
+    return ordered.mapInArrow(_by_unit(multiply), "a long, b long")
+
+
+def _blocks(docs: DataFrame, survey: DataFrame, ranks, n: int, percent: int) -> DataFrame:
+    """(cls, root, n): the classes that may have links, by block."""
+    met = written(_meet(_columns(docs, ranks, n, percent), percent), "jaccard-meetings")
+    pairs = met.where("gram is null").select("a", "b").where("a <> b").distinct()
+    members = met.where("gram is not null").select(
+        F.col("gram").alias("root"), F.col("a").alias("cls"), "n"
+    ).distinct()
+    bitmaps = survey.groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    tiles = _tiles(members, percent).join(bitmaps, "cls").select("unit", "side", "cls", "n", "bits")
+    edges = _near_pairs(pairs, bitmaps, percent).unionByName(_near_in_tiles(tiles, percent))
+    tied = components(edges, "jaccard-blocks")
+    found = tied.select(F.col("node").alias("cls"), "root").unionByName(
+        tied.select(F.col("root").alias("cls"), "root").distinct()
+    )
+    sizes = survey.groupBy("cls").agg(F.first("n").alias("n"))
+    return written(found.join(sizes, "cls"), "jaccard-members")
 
 
 # ---------------------------------------------------------------- the product within blocks
@@ -309,8 +394,8 @@ def product_links(
     return order[np.array(a, np.int64)], order[np.array(b, np.int64)]
 
 
-def _links(rows: DataFrame, percent: int, at_once: int = 2 * TILE) -> DataFrame:
-    """Edges between linked classes of each unit; ``rows``: unit, side, cls, grams."""
+def _by_unit(multiply, at_once: int = 2 * TILE):
+    """Rows in order of their unit, some whole units at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -327,6 +412,12 @@ def _links(rows: DataFrame, percent: int, at_once: int = 2 * TILE) -> DataFrame:
         if held:
             yield from multiply(pa.Table.from_batches(held))
 
+    return run
+
+
+def _links(rows: DataFrame, percent: int) -> DataFrame:
+    """Edges between linked classes of each unit; ``rows``: unit, side, cls, grams."""
+
     def multiply(table: pa.Table) -> Iterator[pa.RecordBatch]:
         if not len(table):
             return
@@ -341,7 +432,7 @@ def _links(rows: DataFrame, percent: int, at_once: int = 2 * TILE) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"a": cls[a], "b": cls[b]})
 
     ordered = rows.repartition("unit").sortWithinPartitions("unit")
-    return ordered.mapInArrow(run, "a long, b long").where("a <> b")
+    return ordered.mapInArrow(_by_unit(multiply), "a long, b long").where("a <> b")
 
 
 def _tiles(blocks: DataFrame, percent: int) -> DataFrame:
@@ -380,43 +471,51 @@ def _tiles(blocks: DataFrame, percent: int) -> DataFrame:
     return whole.unionByName(tiled)
 
 
-def _with_sets(docs: DataFrame, survey: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(cls, grams) of the classes in ``wanted`` (cls), from one document of each."""
-    picks = survey.join(wanted, "cls", "left_semi").groupBy("cls").agg(
-        F.min_by("doc_id", F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("doc_id"),
-        F.min_by("text_key", F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("text_key"),
-    ).select(F.col("doc_id").alias("pick_id"), F.col("text_key").alias("pick_key"))
+def _with_sets(docs: DataFrame, survey: DataFrame, tiles: DataFrame, n: int) -> DataFrame:
+    """``tiles`` (cls, unit, side) with the sets of n-grams, from one document of each class.
+
+    The units a class takes part in travel with its document's key, so a set is made once and
+    shuffled once.
+    """
+    units = tiles.groupBy("cls").agg(F.collect_list(F.struct("unit", "side")).alias("units"))
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    picks = survey.join(units, "cls").groupBy("cls").agg(
+        F.min_by("doc_id", first).alias("pick_id"), F.min_by("text_key", first).alias("pick_key"),
+        F.first("units").alias("units"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, sets in _sets(batch, n):
-                yield pa.RecordBatch.from_pydict({
-                    "cls": pa.array([class_of(s) for s in sets], pa.int64()),
-                    "grams": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                })
+            wanted = batch.column("cls").to_pylist()
+            units = batch.column("units")
+            for begin, sets in _sets(batch, n):
+                # a text key may have met another text
+                good = [k for k, grams in enumerate(sets) if class_of(grams) == wanted[begin + k]]
+                if good:
+                    rows = pa.array([begin + k for k in good])
+                    yield pa.RecordBatch.from_pydict({
+                        "cls": batch.column("cls").take(rows), "units": units.take(rows),
+                        "grams": pa.array([sets[k].view(np.int64) for k in good], pa.list_(pa.int64())),
+                    })
 
     texts = _texts(docs)
-    same = texts.text_key.eqNullSafe(picks.pick_key) & texts.doc_id.eqNullSafe(picks.pick_id)
-    chosen = texts.join(picks, same, "left_semi").select("text")
-    # repeated rows give a class more than once; its first is enough
-    return chosen.mapInArrow(run, "cls long, grams array<long>")
+    same = (texts.text_key == picks.pick_key) & texts.doc_id.eqNullSafe(picks.pick_id)
+    chosen = texts.join(picks, same).select("cls", "units", "text")
+    sets = chosen.mapInArrow(run, "cls long, units array<struct<unit:long,side:int>>, grams array<long>")
+    # repeated rows give a class more than once; that changes no result
+    return sets.select("cls", "grams", F.explode("units").alias("u")).select(
+        F.col("u.unit").alias("unit"), F.col("u.side").alias("side"), "cls", "grams"
+    )
 
 
 def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per document: doc_id, text_key, n_shingles, cls and root, the class that names its component."""
     spark = docs.sparkSession
     surveyed = written(_survey(docs, n), "jaccard-survey")
-    survey = surveyed.where("slice is null").select("doc_id", "text_key", "cls", "n")
+    survey = surveyed.where("slice is null").select("doc_id", "text_key", "cls", "n", "bits")
     ranks = spark.sparkContext.broadcast(_column_ranks(surveyed))  # of fixed size
-    blocks = components(_tie(_columns(docs, ranks, n, percent), percent), "jaccard-blocks")
-    members = blocks.select(F.col("node").alias("cls"), "root").unionByName(
-        blocks.select(F.col("root").alias("cls"), "root").distinct()
-    )
-    sizes = survey.groupBy("cls").agg(F.max("n").alias("n"))
-    members = written(members.join(sizes, "cls"), "jaccard-members")
-    tiles = _tiles(members, percent)
-    sets = _with_sets(docs, survey, members.select("cls"), n)
-    rows = tiles.join(sets, "cls").select("unit", F.col("side").cast("int").alias("side"), "cls", "grams")
+    tiles = _tiles(_blocks(docs, survey, ranks, n, percent), percent)
+    rows = _with_sets(docs, survey, tiles, n)
     linked = components(_links(rows, percent), "jaccard-links")
     roots = linked.select(F.col("node").alias("cls"), "root")
     return survey.join(roots, "cls", "left").select(
