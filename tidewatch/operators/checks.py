@@ -77,10 +77,12 @@ class RowCheck(Check):
             return F.coalesce(F.sum(part), F.lit(0))
         return {"min": F.min, "max": F.max}[self.merge](part)
 
-    def finished(self, merged: Column, binding: Binding) -> Column:
+    def finished(self, merged: Column, binding: Binding, measured_at: Column) -> Column:
+        """The measured value; a parameter of ``finish`` that isn't bound is the time of measurement."""
         if self.finish is None:
             return merged
-        return self.finish(merged, **{k: binding.parameters[k] for k in self.finish_parameters})
+        given = {k: binding.parameters.get(k, measured_at) for k in self.finish_parameters}
+        return self.finish(merged, **given)
 
 
 @dataclass(frozen=True)
@@ -152,7 +154,7 @@ def row_count() -> Column:
            finish=lambda newest, as_of: seconds_between(newest, wall_clock(as_of)),
            finish_parameters=("as_of",))
 def freshness(column: Column) -> Column:
-    """Seconds from the newest value to ``as_of`` (a wall-clock timestamp, given explicitly)."""
+    """Seconds from the newest value to ``as_of`` (wall-clock), by default the time of measurement."""
     return F.max(column.cast("timestamp_ntz"))
 
 

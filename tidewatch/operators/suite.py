@@ -66,7 +66,7 @@ class Suite:
             return df.groupBy(F.col(date).cast("date").alias(DATE)).agg(*kept)
         return df.agg(*kept) if kept else None
 
-    def measure(self, partials: DataFrame) -> DataFrame:
+    def measure(self, partials: DataFrame, measured_at: Column) -> DataFrame:
         """Merge the per-date rows into one row with a column ``m<i>`` per row or series check."""
         series = self.of_family(SeriesCheck)
         frame = partials
@@ -84,7 +84,8 @@ class Suite:
             merged.append(b.check.finish(_lookup(i), **b.parameters).alias(f"m{i}"))
         wide = frame.agg(*merged)
         finished = [
-            b.check.finished(F.col(f"r{i}"), b).alias(f"m{i}") for i, b in self.of_family(RowCheck)
+            b.check.finished(F.col(f"r{i}"), b, measured_at).alias(f"m{i}")
+            for i, b in self.of_family(RowCheck)
         ]
         return wide.select(*finished, *(f"m{i}" for i, _ in series))
 
@@ -137,7 +138,7 @@ def run_checks(df: DataFrame, suite: Suite, measured_at) -> DataFrame:
     partials = suite.partials(df)
     if partials is not None:
         shared = [i for i, b in enumerate(suite.bindings) if not isinstance(b.check, KeyedCheck)]
-        parts.append(suite.rows_of(suite.measure(partials), shared, at))
+        parts.append(suite.rows_of(suite.measure(partials, at), shared, at))
     for i, _ in suite.of_family(KeyedCheck):
         parts.append(suite.rows_of(suite.measure_keyed(df, i), [i], at))
     return reduce(DataFrame.unionByName, parts)
@@ -147,7 +148,7 @@ def measure_partials(partials: DataFrame, suite: Suite, measured_at) -> DataFram
     """Measurement rows of the row and series checks from stored per-date partial aggregates."""
     at = wall_clock(measured_at)
     shared = [i for i, b in enumerate(suite.bindings) if not isinstance(b.check, KeyedCheck)]
-    return suite.rows_of(suite.measure(partials), shared, at)
+    return suite.rows_of(suite.measure(partials, at), shared, at)
 
 
 def run_checks_by_date(
@@ -160,9 +161,10 @@ def run_checks_by_date(
     row_checks = suite.of_family(RowCheck)
     if len(row_checks) != len(suite.bindings):
         raise ValueError("only row checks can be measured date by date in one pass")
+    at = wall_clock(measured_at)
     kept = [b.check.partial_of(b).alias(f"r{i}") for i, b in row_checks]
     per_date = df.groupBy(F.col(date).cast("date").alias(DATE)).agg(*kept)
     wide = per_date.select(
-        DATE, *(b.check.finished(F.col(f"r{i}"), b).alias(f"m{i}") for i, b in row_checks)
+        DATE, *(b.check.finished(F.col(f"r{i}"), b, at).alias(f"m{i}") for i, b in row_checks)
     )
-    return suite.rows_of(wide, [i for i, _ in row_checks], wall_clock(measured_at))
+    return suite.rows_of(wide, [i for i, _ in row_checks], at)

@@ -10,12 +10,12 @@ from tidewatch.operators.suite import Suite
 
 
 def raw_suite(
-    as_of: dt.datetime,
+    as_of: dt.datetime | None = None,
     database: str = "METRICS",
     schema: str = "SEEDS",
     table: str = "RAW_DAILY_METRICS",
 ) -> Suite:
-    """Ten checks of raw observations."""
+    """Ten checks of raw observations; the age is taken at ``as_of`` or, by default, when measured."""
     named = ("metric_name", "metric_value")
     return Suite(
         database,
@@ -24,7 +24,7 @@ def raw_suite(
         (
             c.null_count.on("metric_value"),
             c.row_count.on(),
-            c.freshness.on("metric_date", as_of=as_of),
+            c.freshness.on("metric_date", **({} if as_of is None else {"as_of": as_of})),
             c.minimum.on("metric_value"),
             c.maximum.on("metric_value"),
             c.cardinality.on("metric_name", name="CARDINALITY_METRIC_NAME"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame
 from tidewatch.operators.drift import classify_drift, drift_alerts
 from tidewatch.operators.insights import Complete, explain_alerts
 from tidewatch.operators.rolling import rolling_stats, stage_metrics
-from tidewatch.sources.tables import overwrite_table, read_table
+from tidewatch.operators.suite import Suite, run_checks
+from tidewatch.sources.tables import append_measurements, overwrite_table, read_table
 
 
 @dataclass(frozen=True)
@@ -61,3 +63,17 @@ def rebuild_drift_tables(
     overwrite_table(explain_alerts(alerts, complete), f"{folder}/insights")
     insights = read_table(spark, f"{folder}/insights")
     return DriftTables(lazy.staged, lazy.rolling, drift, alerts, insights)
+
+
+def measure_rebuild(
+    tables: list[tuple[Suite, DataFrame]], history: str, rebuild: int, measured_at: dt.datetime
+) -> None:
+    """Measure freshly rebuilt tables and append to the history.
+
+    ``rebuild`` numbers the rebuild: measuring it again replaces its measurements, so a repeated job
+    counts once. A stream is for tables that only grow; one that is rebuilt is measured as a whole.
+    """
+    for suite, table in tables:
+        append_measurements(
+            run_checks(table, suite, measured_at), history, batch_id=rebuild, monitor="rebuild"
+        )

@@ -10,6 +10,7 @@ the number of distinct keys.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -58,6 +59,11 @@ class Monitor:
     def queries(self) -> list[StreamingQuery]:
         return [self.partials, *(query for query, _, _ in self.keyed.values())]
 
+    @property
+    def identity(self) -> str:
+        """The same for all runs that go on in one folder, and of no other monitor."""
+        return hashlib.sha256(self.folder.encode()).hexdigest()[:16]
+
     def wait(self) -> Monitor:
         """Wait for queries that end by themselves (available data only) and keep their state."""
         for query in self.queries:
@@ -194,9 +200,13 @@ def keep_measuring(
     done = None
     while True:
         running = any(q.isActive for q in monitor.queries)
+        for query in monitor.queries:  # a dead part would freeze its share of each measurement
+            if (error := query.exception()) is not None:
+                monitor.stop()
+                raise error
         newest = monitor._newest_batch()
         if newest is not None and newest != done and monitor._quiet():
-            append_measurements(monitor.measure(clock()), log_path, batch_id=newest)
+            append_measurements(monitor.measure(clock()), log_path, newest, monitor.identity)
             monitor.keep_state()
             done = newest
         if not running:

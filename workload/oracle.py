@@ -605,7 +605,7 @@ FINAL["alert_feed_size"] = f"""select count(*) as total,
 FINAL["alert_insight_join"] = f"""select a.metric_date, a.metric_name, a.segment,
     a.drift_severity, {rnd('a.metric_value')} as metric_value,
     coalesce(i.ai_insight, '') as ai_insight
-    from alerts a left join (select * from insights where drift_severity <> 'watch') i
+    from alerts a left join insights i
     on a.metric_date = i.metric_date and a.metric_name = i.metric_name and a.segment = i.segment"""
 FINAL["series_band"] = f"""select metric_date, {rnd('metric_value')} as metric_value,
     {rnd('rolling_14d_avg')} as rolling_14d_avg,
@@ -648,6 +648,35 @@ FINAL["monitor_stream"] = union(
 )
 
 
+FINAL["exact_daily_means"] = """
+with wide as (
+    select cast(l_shipdate as date) as metric_date, l_returnflag as segment,
+           avg(l_discount) as discount_mean, avg(l_tax) as tax_mean, sum(l_tax) as tax_total
+    from lineitem group by 1, 2
+    union all
+    select cast(l_shipdate as date), 'all', avg(l_discount), avg(l_tax), sum(l_tax)
+    from lineitem group by 1
+)
+select metric_date, 'discount_mean' as metric_name, round(discount_mean, 9) as metric_value, segment from wide
+union all select metric_date, 'tax_mean', round(tax_mean, 9), segment from wide
+union all select metric_date, 'tax_total', round(tax_total, 9), segment from wide
+"""
+_LATE, _LATER = "timestamp '2024-02-01 23:59:00'", "timestamp '2024-02-02 00:01:00'"
+FINAL["measurement_history"] = union(
+    *(
+        f"""select '{name}' as table_name, '{check}' as check_name, cast({value} as double) as value,
+        {at} as measurement_time, date '2024-02-01' as measured_date, cast(0 as bigint) as batch_id from {source}"""
+        for name, source, day, at in (
+            ("ORDERS", "orders", "o_orderdate", _LATER), ("LINEITEM", "lineitem", "l_shipdate", _LATE)
+        )
+        for check, value in (
+            ("ROW_COUNT", "count(*)"),
+            ("FRESHNESS", f"date_diff('second', max(cast({day} as timestamp)), {at})"),
+        )
+    )
+)
+
+
 def _needed(sql: str) -> list[str]:
     """Names of the expressions that a statement needs, each after those it needs itself."""
     found: list[str] = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,9 @@ from tidewatch.operators import quality as q
 from tidewatch.operators import reports as r
 from tidewatch.operators.insights import alert_prompts, explain_alerts
 from tidewatch.operators.suite import Suite, run_checks
+from tidewatch.session import shared_folder
+from tidewatch.sources.metrics import daily_metrics, mean, total
+from tidewatch.sources.tables import append_measurements, read_measurements
 from tidewatch.streaming.monitor import start_monitor, stream_table
 from workload import tables as t
 
@@ -393,7 +397,7 @@ def alert_feed_size(spark, sf):
 @query
 def alert_insight_join(spark, sf):
     alerts = t.alerts(spark, sf)
-    explained = explain_alerts(alerts.where("drift_severity != 'watch'"))
+    explained = explain_alerts(alerts)
     return t.tidy(
         r.alert_insights(alerts, explained).select(
             "metric_date", "metric_name", "segment", "drift_severity", "metric_value", "ai_insight"
@@ -452,3 +456,31 @@ def monitor_stream(spark, sf):
             "table_name", F.col("metric_name").alias("check_name"), "columns", "value"
         )
     )
+
+
+@query
+def exact_daily_means(spark, sf):
+    """Rates, which have more decimals than amounts: nothing is rounded before it is summed."""
+    lines = t.table(spark, sf, "lineitem")
+    measures = {
+        "discount_mean": mean("l_discount"), "tax_mean": mean("l_tax"), "tax_total": total("l_tax"),
+    }
+    return t.tidy(daily_metrics(lines, "l_shipdate", "l_returnflag", measures), 9)
+
+
+@query
+def measurement_history(spark, sf):
+    """Two tables in one history with equal batch numbers, one batch repeated after midnight."""
+    path = f"{shared_folder(spark)}/history-{uuid.uuid4().hex}"
+    bindings = (c.row_count.on(), c.freshness.on("day"))
+    orders = t.table(spark, sf, "orders").withColumn("day", F.col("o_orderdate").cast("timestamp_ntz"))
+    lines = t.table(spark, sf, "lineitem").withColumn("day", F.col("l_shipdate").cast("timestamp_ntz"))
+    late, later = dt.datetime(2024, 2, 1, 23, 59), dt.datetime(2024, 2, 2, 0, 1)
+    for frame, name, at in ((orders, "ORDERS", late), (lines, "LINEITEM", late), (orders, "ORDERS", later)):
+        measured = run_checks(frame, Suite(t.DATABASE, "RAW", name, bindings), at)
+        append_measurements(measured, path, batch_id=0)
+    history = read_measurements(spark, path, dates=(late.date(), late.date()))
+    return history.select(
+        "table_name", F.col("metric_name").alias("check_name"), "value", "measurement_time",
+        "measured_date", "batch_id",
+    )

@@ -42,9 +42,9 @@ def order_metrics(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderdate",
         "o_orderpriority",
         {
-            "revenue": total("o_totalprice"),
+            "revenue": total("o_totalprice", scale=2),
             "order_count": rows(),
-            "avg_order_value": mean("o_totalprice"),
+            "avg_order_value": mean("o_totalprice", scale=2),
         },
     )
 
@@ -90,7 +90,7 @@ def event_metrics(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "events"),
         "ts",
         "event_type",
-        {"event_count": rows(), "value_total": total("value")},
+        {"event_count": rows(), "value_total": total("value", scale=2)},
     )
 
 
