@@ -181,10 +181,11 @@ def alert_feed(
     severity: str | None = None,
     dates: Dates | None = None,
 ) -> DataFrame:
-    """Filtered alerts with the keys of the feed's order: strongest severity, then newest."""
+    """Filtered alerts, strongest severity first, then newest; the last key orders what else is equal,
+    so that pages neither repeat nor skip rows."""
     return filter_dates(filter_severity(alerts, severity), dates).orderBy(
         F.asc_nulls_last(severity_rank(F.col("drift_severity"))), F.desc("metric_date"),
-        "metric_name", "segment",
+        "metric_name", "segment", F.xxhash64(*alerts.columns),
     )
 
 
