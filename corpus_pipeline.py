@@ -5,7 +5,8 @@ return documents with the columns they came with:
 
 1. language ID: drops texts without letters and texts that no known language is likelier for;
 2. quality rules: drops what fails the base rules or is depleted of lines that are its own;
-3. n-gram Jaccard join: keeps one document of each group of near duplicates, the one of smallest id;
+3. n-gram Jaccard join: keeps one document of each group of near duplicates (five-word shingles,
+   similarity 0.8 or more), the one of smallest id;
 4. benchmark decontamination: drops documents that hold a benchmark item;
 5. best-fit packing: packs what is left into sequences of at most 2048 tokens.
 """
@@ -32,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return one_of_each(docs, n=3, percent=90)
+    return one_of_each(docs, n=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

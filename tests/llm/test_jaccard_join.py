@@ -11,16 +11,16 @@ from tidewatch.llm.jaccard_join import jaccard_components, one_of_each
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def grams(text):
+def grams(text, n=3):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = WORD.findall(low)
-    if len(words) < 3:
+    if len(words) < n:
         return frozenset([tuple(words)] if words else [])
-    return frozenset(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+    return frozenset(tuple(words[k : k + n]) for k in range(len(words) - n + 1))
 
 
-def brute(rows):
-    sets = [grams(r.text) for r in rows]
+def brute(rows, n=3, percent=90):
+    sets = [grams(r.text, n) for r in rows]
     root = list(range(len(rows)))
 
     def find(k):
@@ -31,7 +31,7 @@ def brute(rows):
     for i, x in enumerate(sets):
         for j in range(i):
             both = len(x & sets[j])
-            if x and 100 * both >= 90 * (len(x) + len(sets[j]) - both):
+            if x and 100 * both >= percent * (len(x) + len(sets[j]) - both):
                 root[find(i)] = find(j)
     groups = {}
     for k in range(len(rows)):
@@ -67,19 +67,19 @@ def varied(count=160, seed=5):
     return rows
 
 
-@pytest.mark.parametrize("tile", [4096, 4])
-def test_against_brute_force(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile, n, percent", [(4096, 3, 90), (4, 3, 90), (4, 5, 80)])
+def test_against_brute_force(spark, monkeypatch, tile, n, percent):
     monkeypatch.setattr(jaccard_join, "TILE", tile)
     docs = cases.documents(spark, varied() + [(1000 + k, t) for k, t in enumerate(cases.texts(60))])
-    wanted, groups, _ = brute(docs.collect())
-    got = jaccard_components(docs)
+    wanted, groups, _ = brute(docs.collect(), n, percent)
+    got = jaccard_components(docs, n, percent)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(wanted, key=key)
     assert max(map(len, groups.values())) > 9
 
 
 def test_awkward_rows(spark):
     docs = cases.documents(spark)
-    wanted, groups, sets = brute(docs.collect())
+    wanted, groups, sets = brute(docs.collect(), 5, 80)
     got = jaccard_components(docs)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(wanted, key=key)
     kept = one_of_each(docs)

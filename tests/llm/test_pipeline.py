@@ -40,7 +40,7 @@ def test_stages_against_brute_force(spark, folder, vocabulary):
             wanted = [(r.doc_id or -1, r.text or "") for r, v in zip(rows, verdicts, strict=True) if v[-1]]
             assert texts == sorted(wanted)
         elif name == "n-gram Jaccard join":
-            _, groups, sets = test_jaccard_join.brute(rows)
+            _, groups, sets = test_jaccard_join.brute(rows, 5, 80)
             assert len(texts) == sum(len(m) if not sets[m[0]] else 1 for m in groups.values())
         elif name == "benchmark decontamination":
             hit = test_decontamination.brute([(k, r.text) for k, r in enumerate(rows)], benchmark, 0.2)

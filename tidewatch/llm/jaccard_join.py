@@ -1,13 +1,12 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix.
 
 Documents with equal n-gram sets are one class. Two classes can only reach the threshold if their
-sizes are near and they share one of the rarest few n-grams of each, which is a tenth of the set for
-0.9. So the columns are ordered rare first, by a count sketch over all documents, and the product is
+sizes are near and they share one of the rarest few n-grams of each, which is a fifth of the set for
+0.8. So the columns are ordered rare first, by a count sketch over all documents, and the product is
 taken in two steps:
 
 1. Columns among each class's rarest. Classes that meet in such a column, within the size bound, are
-   candidates; each set also has a bitmap of parities, of half as many bits as it has n-grams at
-   least, and as each n-gram in one set alone flips at most one bit, the bits by which two bitmaps
+   candidates; each set also has a bitmap of parities, of at least as many bits as it has n-grams, and as each n-gram in one set alone flips at most one bit, the bits by which two bitmaps
    differ bound the overlap from above. What is left makes blocks: sets of classes beyond which no
    link goes. Where many classes meet, the bitmaps are compared in tiles, see below.
 2. Within a block, the product proper: overlap counts are accumulated over all columns, and pairs
@@ -77,7 +76,7 @@ def class_of(grams: np.ndarray) -> int:
 
 def parities(grams: np.ndarray) -> bytes:
     """A bitmap with a bit for each remainder of the hashes, set if an odd number of them has it."""
-    size = max(64, 1 << (len(grams) // 2).bit_length())
+    size = max(64, 1 << len(grams).bit_length())
     odd = np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -293,7 +292,7 @@ def _near_in_tiles(rows: DataFrame, percent: int) -> DataFrame:
             here = here[np.argsort(n[here], kind="stable")]
             crossed = side[here].any()
             for width in np.unique(widths[here]):
-                # a partner of up to a ninth more has bits as many, or twice as many
+                # a partner of less than twice the size has bits as many, or twice as many
                 rows = here[(widths[here] == width) | (widths[here] == 2 * width)]
                 m = np.stack([folded(np.frombuffer(bits[r], np.uint8), width).view(np.uint64) for r in rows])
                 own = widths[rows] == width
@@ -508,7 +507,7 @@ def _with_sets(docs: DataFrame, survey: DataFrame, tiles: DataFrame, n: int) ->
     )
 
 
-def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Per document: doc_id, text_key, n_shingles, cls and root, the class that names its component."""
     spark = docs.sparkSession
     surveyed = written(_survey(docs, n), "jaccard-survey")
@@ -524,7 +523,7 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     )
 
 
-def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
     classes = jaccard_classes(docs, n, percent)
     groups = classes.where("n_shingles > 0").groupBy("root").agg(
@@ -537,7 +536,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     )
 
 
-def one_of_each(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component: that of the smallest doc_id.
 
     Documents without n-grams all stay. Of repeated rows one stays.
