@@ -41,10 +41,15 @@ def build_session(app: str = "tidewatch", master: str | None = None, **extra: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; in local mode without one, a new temporary one."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    In local mode without that setting, a temporary folder is made once and the setting points to it.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tidewatch-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    made = tempfile.mkdtemp(prefix="tidewatch-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
