@@ -49,6 +49,8 @@ def test_repeated_branches_go(spark):
     assert got[200].text == "Call us now\n\nRates\n\nstory 0 goes on"  # too few pages to tell
     assert got[201].text == got[202].text == got[203].text == "" and got[201].n_chars == 0
     assert got[310].text == "Same\n\nsame text"  # an article's text is never judged
+    salted = {r.page_id: r.text for r in extract_text(pages, broadcast_bytes=0).collect()}
+    assert salted == {k: r.text for k, r in got.items()}
     assert extract_text(pages).columns == ["page_id", "url", "text", "n_chars"]
 
 

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.folders import written
 from tidewatch.llm.url_filters import url_host
 
 #: HTML's elements without contents, with raw contents, and those that break the flow.
@@ -68,6 +69,9 @@ APART_NAMES = frozenset(
 )
 PAGE_HEADER = frozenset(["header", "topbar", "heading-bar"])
 
+#: Tasks that a host's pages are dealt to where the lists of its branches are too large to broadcast.
+SALTS = 64
+
 TAG = re.compile(
     r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|[!?][^>]*+>"
     r"|(?P<close>/?)(?P<name>[a-zA-Z][^\s/<>]*+)"
@@ -328,14 +332,25 @@ def noise(nodes: DataFrame, least_importance: float, least_pages: int) -> DataFr
     ).agg(F.max("importance").alias("most")).where(F.col("most") < least_importance).drop("most")
 
 
-def extract_text(pages: DataFrame, least_importance: float = 0.3, least_pages: int = 10) -> DataFrame:
+def extract_text(pages: DataFrame, least_importance: float = 0.3, least_pages: int = 10,
+                 broadcast_bytes: int = 16 << 20) -> DataFrame:
     """``pages`` (url, html) with ``text`` and ``n_chars`` in place of the html."""
-    low = noise(node_importance(pages), least_importance, least_pages).groupBy(
-        F.col("host").alias("__host")
-    ).agg(F.collect_set("path").alias("__low"))
+    low = written(
+        noise(node_importance(pages), least_importance, least_pages)
+        .groupBy(F.col("host").alias("__host")).agg(F.collect_set("path").alias("__low")),
+        "style-noise",
+    )
     rows = pages.drop("text", "n_chars").withColumns(
         {"__host": url_host(F.col("url")), "html": F.col("html").cast("string")}
-    ).join(low, "__host", "left").drop("__host")
+    )
+    size = low.agg(F.sum(F.octet_length(F.concat_ws(" ", "__host", "__low")) + 32)).first()[0] or 0
+    if size <= broadcast_bytes:  # the html stays where it is
+        rows = rows.join(F.broadcast(low), "__host", "left")
+    else:  # a host's pages are dealt over several tasks
+        salted = low.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64("url", "html"), F.lit(SALTS)).cast("int")
+        rows = rows.withColumn("__salt", salt).join(salted, ["__host", "__salt"], "left").drop("__salt")
+    rows = rows.drop("__host")
     schema = rows.drop("html", "__low").schema.add("text", "string").add("n_chars", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
