@@ -69,6 +69,16 @@ def test_long_texts_are_cut_alike(docs):
     assert best[0] == share.argmax() and abs(score[0] - share.max()) < 1e-4
 
 
+def test_copies_take_one_place_in_the_sample(spark):
+    texts = [f"text {'abcdefghij'[k]} of one language" for k in range(10)]
+    keys = spark.createDataFrame([(t,) for t in texts], "text string").select("text", F.xxhash64("text"))
+    first = min(keys.collect(), key=lambda r: r[1])[0]  # its copies come first in hash order
+    rows = [(t, "aa") for t in texts] + [(first, "aa")] * 50
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    windows, _, _ = language.sample_windows_of(docs, "lang", 10, 8)
+    assert len({w.tobytes() for w in windows}) == 10
+
+
 def test_nothing_to_learn(spark):
     plain = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert identify(plain, fit(plain)).first()["lang_pred"] == "und"

@@ -158,16 +158,16 @@ def _slopes(net: Network, x, labels, share, open_):
 def sample_windows_of(
     docs: DataFrame, label: str, sample_docs: int, sample_windows: int
 ) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Windows, labels and languages of a bounded sample: the first documents of each language in
-    hash order, which each task cuts down before the shuffle."""
+    """Windows, labels and languages of a bounded sample: the first distinct texts of each language in
+    hash order. Copies are merged before the ranking, so a large group of them takes one place."""
     rows = docs.where(F.col(label).isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         F.col(label).cast("string").alias("label"), F.col("text").cast("string").alias("text"),
         F.xxhash64("text").alias("key"),
     )
     # hashes alone are ranked; the few texts are then fetched by them
     rank = F.row_number().over(Window.partitionBy("label").orderBy("key"))
-    picked = rows.select("label", "key").withColumn("rank", rank).where(F.col("rank") <= sample_docs)
-    chosen = rows.join(F.broadcast(picked.select("label", "key").distinct()), ["label", "key"], "left_semi")
+    picked = rows.select("label", "key").distinct().withColumn("rank", rank).where(F.col("rank") <= sample_docs)
+    chosen = rows.join(F.broadcast(picked.select("label", "key")), ["label", "key"], "left_semi")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
