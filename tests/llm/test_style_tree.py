@@ -1,6 +1,26 @@
 import pytest
 from tidewatch.llm.style_tree import extract_text, main_text, node_importance
 
+#: Names that tell of a layout or a state, and the page's forms: the article inside has to be found.
+WRAPPERS = ["page has-sidebar", "no-ads", "search-enabled", "comment-open", "with-banner", "sidebar", "widget"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_wrappers_stay(name):
+    article = "<article><h1>T</h1><p>text</p></article><div class='ad'>buy</div>"
+    assert main_text(f"<div class='{name}'>{article}</div>") == "T\n\ntext"
+    assert main_text(f"<form id='all'><div id='{name}'>{article}</div></form>") == "T\n\ntext"
+    plain = "<p>a long text without any article around it</p><div class='share-buttons'>no</div>"
+    assert main_text(f"<div class='{name}'>{plain}</div><p>end</p>").startswith("a long text")
+
+
+def test_comments_go_although_they_are_articles():
+    page = "<div><h1>T</h1><p>a text that is longer</p></div><div id='comments'><article>x</article></div>"
+    assert main_text(page) == "T\n\na text that is longer"
+    page = "<article><p>a</p></article><div id='comments'><article>a longer comment</article></div>"
+    assert main_text(page) == "a"
+
+
 SCHEMA = "page_id long, url string, html string, text string, n_chars int"
 
 

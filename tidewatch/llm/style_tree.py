@@ -68,6 +68,12 @@ APART_NAMES = frozenset(
     "respond pagination pager copyright toolbar skip complementary contentinfo".split()
 )
 PAGE_HEADER = frozenset(["header", "topbar", "heading-bar"])
+#: Words that may stand beside such a name in one class ("share-buttons", "site-footer"). Beside others
+#: ("has-sidebar", "no-ads", "comment-open") the name tells of a state or a layout, not of a role.
+BESIDE = frozenset(
+    "site page main primary secondary global post posts top bottom left right button buttons bar box "
+    "block list link links area section container item items unit slot form icon icons panel inner".split()
+)
 
 #: Tasks that a host's pages are dealt to where the lists of its branches are too large to broadcast.
 SALTS = 64
@@ -88,6 +94,7 @@ class Node:
     tag: str
     name: str
     apart: bool = False
+    doubtful: bool = False  # apart, but only by a name or as a form
     children: list = field(default_factory=list)  # nodes and strings
 
 
@@ -95,22 +102,65 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
 
 
+def _named(names: str, roles: frozenset[str]) -> bool:
+    """Whether a class, id or role is the name of a role, alone or beside words for a kind of box."""
+    for name in names.split():
+        parts = {p for p in NAME_PARTS.split(name) if p}
+        if name in roles or (parts & roles and parts <= roles | BESIDE):
+            return True
+    return False
+
+
 def _new_node(tag: str, raw: str, in_article: bool) -> Node:
+    sure = (tag in APART and tag != "form") or (tag == "header" and not in_article)
     if not raw or raw.isspace():
-        return Node(tag, tag, tag in APART or (tag == "header" and not in_article))
+        return Node(tag, tag, sure or tag == "form", tag == "form")
     attrs = _attributes(raw)
     names = " ".join(attrs.get(k, "") for k in ("class", "id", "role")).lower()
-    parts = set(NAME_PARTS.split(names))
-    apart = (
-        tag in APART or bool(parts & APART_NAMES)
-        or (not in_article and (tag == "header" or bool(parts & PAGE_HEADER)))
-        or "hidden" in attrs or attrs.get("aria-hidden") == "true"
+    sure = (
+        sure or "hidden" in attrs or attrs.get("aria-hidden") == "true"
         or bool(HIDDEN.search(attrs.get("style", "")))
     )
+    apart = (
+        sure or tag == "form" or _named(names, APART_NAMES)
+        or (not in_article and _named(names, PAGE_HEADER))
+    )
     if tag in ("html", "body", "article", "main"):
         apart = False
     label = "." .join(sorted(p for p in NAME_PARTS.split(attrs.get("class", "").lower()) if p))
-    return Node(tag, f"{tag}.{label}" if label else tag, apart)
+    return Node(tag, f"{tag}.{label}" if label else tag, apart, apart and not sure)
+
+
+def _spare(root: Node) -> None:
+    """Keep doubtful branches that hold the page's main elements, headings, articles or most of its text."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(
+            c for c in node.children if isinstance(c, Node) and (c.doubtful or not c.apart) and c.tag not in RAW
+        )
+    if not any(n.doubtful for n in order):
+        return
+    held: dict[int, tuple[int, int, int, int]] = {}  # mains, h1, articles, characters
+    for node in reversed(order):
+        parts = [held[id(c)] for c in node.children if id(c) in held]
+        text = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        held[id(node)] = (
+            (node.tag == "main") + sum(p[0] for p in parts), (node.tag == "h1") + sum(p[1] for p in parts),
+            (node.tag == "article") + sum(p[2] for p in parts), text + sum(p[3] for p in parts),
+        )
+    mains, headings, articles, size = held[id(root)]
+    for node in order:
+        if node.doubtful:
+            here = held[id(node)]
+            most = 2 * here[3] > size
+            node.apart = not (
+                0 < mains == here[0] or 0 < headings == here[1]
+                # articles beside the page's heading may be its readers' comments
+                or (0 < articles == here[2] and (most or headings == here[1]))
+                or (most and not mains and not articles)
+            )
 
 
 def parse(page: str) -> Node:
@@ -155,6 +205,7 @@ def parse(page: str) -> Node:
         elif tag not in VOID and not found["attrs"].endswith("/"):
             stack.append(node)
             articles += tag in ("article", "main")
+    _spare(root)
     return root
 
 
