@@ -5,7 +5,7 @@ import cases
 import numpy as np
 import pyarrow as pa
 from tidewatch.llm.decontamination import (
-    Index, contaminated, decontaminate, distances, most_edits, word_hashes,
+    Index, _hits, contaminated, decontaminate, distances, most_edits, word_hashes,
 )
 from tidewatch.llm.arrays import buffers
 
@@ -100,3 +100,46 @@ def test_distances_and_dropped_windows():
     hashes, _, _, first = word_hashes(*buffers(pa.array([planted()[1][3][1]])))
     starts, lengths = index.windows(hashes, first)
     assert (0, len(hashes)) in zip(starts.tolist(), lengths.tolist(), strict=True)
+
+
+def nearest(w, x):
+    """Edit distance of x to the nearest run of words in w."""
+    last = [0] * (len(w) + 1)
+    for i, a in enumerate(x, 1):
+        now = [i]
+        for j, b in enumerate(w, 1):
+            now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (a != b)))
+        last = now
+    return min(last)
+
+
+def test_passages_shorter_and_longer_than_the_item():
+    rng = random.Random(7)
+    names = [f"n{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choices(names, k=rng.randint(6, 40)))) for k in range(40)]
+    texts = []
+    for k in range(240):
+        part = items[k % 40][1].split()
+        move = k // 40 % 3
+        for _ in range(most_edits(len(part), 0.2)):
+            at = rng.randrange(len(part))
+            if move == 0:
+                part.pop(at)
+            elif move == 1:
+                part.insert(at, rng.choice(names))
+            else:
+                part[at] = rng.choice(names)
+        # half of the documents are nothing but the passage
+        sides = [rng.choices(names, k=rng.randint(0, 20)) if k >= 120 else [] for _ in range(2)]
+        texts.append(" ".join([*sides[0], *part, *sides[1]]))
+    texts.append(" ".join(items[0][1].split()[1:]))
+    got = {(r[0], r[1]): r for r in _hits(pa.array(texts), Index(items, 0.2))}
+    near = {
+        (k, i): nearest(words(t), words(item)) for k, t in enumerate(texts) for i, item in items
+    }
+    wanted = {k for k, e in near.items() if e <= most_edits(len(words(items[k[1]][1])), 0.2)}
+    assert set(got) <= wanted and len(wanted) >= 241 and (240, 0) in got
+    assert len(got) >= 0.99 * len(wanted)
+    for (k, i), (_, _, edits, n_words, begin, end) in got.items():
+        assert edits == distance(words(texts[k][begin:end]), words(items[i][1])) and edits >= near[k, i]
+        assert n_words == len(words(items[i][1]))

@@ -1,15 +1,17 @@
-"""Benchmark decontamination: item-sized windows within a bounded edit distance of an item.
+"""Benchmark decontamination: passages within a bounded edit distance of an item.
 
-A document is contaminated by an item if some run of as many words as the item has lies within
-``share`` of them in edit distance (words in lower case, punctuation apart). Candidates come from a
+A document is contaminated by an item if some run of its words, of any length, lies within ``share``
+of the item's words in edit distance (words in lower case, punctuation apart). Candidates are
+item-sized windows, also those that the document's end cuts off; each is verified against the best
+run of words in and around it. They come from a
 CGK embedding: a random walk over a sequence that stays or steps on at each position by a random bit
 of the current word, so that near sequences stay in step and edit distance becomes Hamming distance.
 Repeated bit sampling of the embedded positions, over several independent walks, puts near pairs
 into a common bucket with the target recall; each candidate is then verified by its exact distance.
 
-Before embedding, windows are dropped that can't qualify: each edit destroys at most three of a
-window's three-word runs, so a window must keep a certain number of runs that occur in the benchmark.
-That bound loses nothing. The work is one pass over the documents without a shuffle; the benchmark
+Before embedding, windows are dropped that can't qualify: each edit destroys at most three of an
+item's three-word runs, so a passage must keep a certain number of runs that occur in the benchmark,
+within the item's length and the most insertions. That bound loses nothing. The work is one pass over the documents without a shuffle; the benchmark
 is taken in blocks of bounded size, each of which is broadcast.
 
 Nulls and edge cases: null and empty texts hold nothing; items of fewer than ``LEAST_WORDS`` words
@@ -90,6 +92,27 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return last[:, -1]
 
 
+def best_runs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edits, begin and end (columns of ``y``) of the run in each row of ``y`` that is nearest to ``x``'s row.
+
+    The run may begin and end anywhere; among equals the shortest of those that end first.
+    """
+    rows, width = y.shape
+    unit = width + 1  # a value is edits * unit + (width - begin)
+    places = np.arange(width + 1)
+    last = np.broadcast_to(width - places, (rows, width + 1)).copy()
+    for i in range(x.shape[1]):
+        now = last + unit
+        now[:, 1:] = np.minimum(now[:, 1:], last[:, :-1] + unit * (x[:, i : i + 1] != y))
+        last = np.minimum.accumulate(now - places * unit, axis=1) + places * unit
+    # the fewest edits first, then the shortest run
+    edits = last // unit
+    length = np.maximum(places - (width - last % unit), 0)
+    end = np.argmin(edits * (unit + 1) + length, axis=1)
+    every = np.arange(rows)
+    return edits[every, end], width - last[every, end] % unit, end
+
+
 class Index:
     """A block of items: their three-word runs, and the buckets of their embeddings."""
 
@@ -117,7 +140,7 @@ class Index:
         pairs = np.unique(place * (LONGEST_ITEM + 1) + length)
         self.run_lengths = pairs % (LONGEST_ITEM + 1)
         self.run_from = np.searchsorted(pairs, np.arange(len(self.runs) + 1) * (LONGEST_ITEM + 1))
-        #: Runs that a window of each length must at least have.
+        #: Runs of the item that a passage must at least have, by the item's length.
         self.least = {
             m: m - RUN + 1 - RUN * most_edits(m, share) for m in np.unique(self.lengths).tolist()
         }
@@ -182,18 +205,23 @@ class Index:
             here = at[np.searchsorted(length, m) : np.searchsorted(length, m, "right")]
             if len(here) < least:
                 continue
-            # each group of ``least`` neighbours allows the starts from which a window spans it
-            low, high = np.maximum(here[least - 1 :] - (m - RUN), 0), here[: len(here) - least + 1]
+            # each group of ``least`` neighbours allows the starts from which a passage spans it
+            edits = most_edits(m, self.share)
+            low, high = np.maximum(here[least - 1 :] - (m + edits - RUN), 0), here[: len(here) - least + 1]
             good = low <= high
             start = np.unique(spans(low[good], (high - low + 1)[good]))
             row = np.searchsorted(first, start, "right") - 1
-            start = start[start + m <= first[row + 1]]
+            start = start[start + m - edits <= first[row + 1]]
             starts.append(start)
             lengths.append(np.full(len(start), m))
         return np.concatenate(starts), np.concatenate(lengths)
 
-    def matches(self, x: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, item, edits) of the windows within reach of an item."""
+    def matches(self, x: np.ndarray, lengths: np.ndarray, around: np.ndarray, lead: np.ndarray):
+        """(window, item, edits, begin, end) of the passages within reach of an item.
+
+        ``around`` has each window with the words of its document beside it, and ``lead`` how many of
+        them stand before it; begin and end are counted from the window's first word.
+        """
         table, of = self.tables
         keys = self.buckets(x, lengths)
         low = np.searchsorted(table, keys.reshape(-1))
@@ -207,16 +235,20 @@ class Index:
         window, item = np.divmod(np.unique(np.concatenate(pairs)), max(1, len(self.items)))
         good = lengths[window] == self.lengths[item]
         window, item = window[good], item[good]
-        edits = np.zeros(len(window), np.int64)
+        edits, begin, end = (np.zeros(len(window), np.int64) for _ in range(3))
         for m in np.unique(lengths[window]).tolist():
             rows = np.flatnonzero(lengths[window] == m)
-            step = max(1, 2_000_000 // m)
+            width = m + 2 * most_edits(m, self.share)
+            step = max(1, 2_000_000 // width)
             for k in range(0, len(rows), step):
                 part = rows[k : k + step]
-                edits[part] = distances(x[window[part], :m], self.items[item[part], :m])
+                edits[part], begin[part], end[part] = best_runs(
+                    self.items[item[part], :m], around[window[part], :width]
+                )
+        begin, end = begin - lead[window], end - lead[window]
         limits = np.array([most_edits(m, self.share) for m in range(self.longest + 1)], np.int64)
         near = edits <= limits[lengths[window]]
-        return window[near], item[near], edits[near]
+        return window[near], item[near], edits[near], begin[near], end[near]
 
 
 def _blocks(benchmark: DataFrame, share: float, block: int) -> Iterator[Index]:
@@ -233,7 +265,10 @@ def _blocks(benchmark: DataFrame, share: float, block: int) -> Iterator[Index]:
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, share: float = 0.2, block: int = BLOCK
 ) -> DataFrame:
-    """The best window for each document and item it holds (``HITS``; begin, end: code points)."""
+    """The best passage for each document and item it holds (``HITS``; begin, end: code points).
+
+    ``n_words`` is the item's; the passage may have up to ``edits`` more or fewer.
+    """
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
@@ -263,45 +298,58 @@ def contaminated(
 
 
 def _hits(column: pa.Array, index: Index, at_once: int = 4_000_000) -> list[tuple]:
-    """(row, item id, edits, words, begin, end) of the best window for each row and item it holds."""
+    """(row, item id, edits, words, begin, end) of the best passage for each row and item it holds."""
     if not len(index.items):
         return []
     texts = as_strings(column)
     best: dict[tuple[int, int], tuple] = {}
     held, size = [], 0
 
-    def settle() -> None:
-        x = np.concatenate([h[0] for h in held])
-        lengths, rows, begins, ends = (np.concatenate([h[k] for h in held]) for k in (1, 2, 3, 4))
+    def settle(begins, ends, points, offsets, above: int) -> None:
+        x, around = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+        starts, lengths, rows, lead = (np.concatenate([h[k] for h in held]) for k in (2, 3, 4, 5))
         step = max(1, at_once // (WALKS * 2 * index.longest))
         for k in range(0, len(x), step):
-            window, item, edits = index.matches(x[k : k + step], lengths[k : k + step])
-            for w, i, e in zip((window + k).tolist(), item.tolist(), edits.tolist(), strict=True):
-                key, value = (int(rows[w]), i), (e, int(begins[w]), int(ends[w]))
+            part = slice(k, k + step)
+            window, item, edits, low, high = index.matches(x[part], lengths[part], around[part], lead[part])
+            window = window + k
+            origin = points[offsets[rows[window]]]
+            from_ = points[begins[starts[window] + low]] - origin
+            to = points[ends[starts[window] + high - 1]] - origin
+            found = zip(rows[window].tolist(), item.tolist(), edits.tolist(), from_.tolist(), to.tolist(), strict=True)
+            for row, i, *value in found:
+                key, value = (above + row, i), tuple(value)
                 if key not in best or value < best[key]:
                     best[key] = value
 
+    slack = most_edits(index.longest, index.share)
     for begin, end in row_blocks(texts):
         data, offsets = buffers(texts.slice(begin, end - begin))
         hashes, begins, ends, first = word_hashes(data, offsets)
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         starts, lengths = index.windows(hashes, first)
-        for k in range(0, len(starts), at_once // index.longest + 1):
-            at, m = starts[k : k + at_once // index.longest + 1], lengths[k : k + at_once // index.longest + 1]
-            place = at[:, None] + np.arange(index.longest)
-            x = np.where(place < (at + m)[:, None], hashes[np.minimum(place, len(hashes) - 1)], 0)
+        step = at_once // index.longest + 1
+        for k in range(0, len(starts), step):
+            at, m = starts[k : k + step], lengths[k : k + step]
             row = np.searchsorted(first, at, "right") - 1
-            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            from_, to = begins[at], ends[at + m - 1]
-            held.append((
-                x.astype(np.uint64), m, begin + row,
-                points[from_] - points[offsets[row]], points[to] - points[offsets[row]],
-            ))
+            stop = first[row + 1]
+            place = at[:, None] + np.arange(index.longest)
+            inside = place < np.minimum(at + m, stop)[:, None]
+            x = np.where(inside, hashes[np.minimum(place, len(hashes) - 1)], 0)
+            # the words beside a window, as far as the document and the most edits go
+            edits = np.array([most_edits(n, index.share) for n in range(index.longest + 1)])[m]
+            before = np.maximum(at - edits, first[row])
+            place = before[:, None] + np.arange(index.longest + 2 * slack)
+            inside = place < np.minimum(at + m + edits, stop)[:, None]
+            around = np.where(inside, hashes[np.minimum(place, len(hashes) - 1)], 0)
+            held.append((x.astype(np.uint64), around.astype(np.uint64), at, m, row, at - before))
             size += x.size
             if size > at_once:
-                settle()
+                settle(begins, ends, points, offsets, begin)
                 held, size = [], 0
-    if held:
-        settle()
+        if held:
+            settle(begins, ends, points, offsets, begin)
+            held, size = [], 0
     return [
         (row, index.ids[item], edits, int(index.lengths[item]), begin, end)
         for (row, item), (edits, begin, end) in sorted(best.items())
