@@ -79,5 +79,31 @@ def test_filter_keeps_whole_rows(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(wanted, key=repr)
 
 
+def own(*names, k=12):
+    return " ".join(f"{''.join(chr(97 + int(c)) for c in str(n))}{chr(97 + j)}" for n in names for j in range(k))
+
+
+def test_scaling_the_table_keeps_the_verdicts(spark):
+    notice = "this line stands in a tenth of all documents of its host and nowhere else at all"
+    verdicts = []
+    for size in (100, 1000):
+        texts = [notice if k == 0 else f"{own(k)}\n{notice}" if k % 10 == 0 else own(k) for k in range(size)]
+        docs = cases.documents(spark, list(enumerate(texts))).drop("source")
+        rows = quality_rules(docs.selectExpr("*", "'one' as source")).collect()
+        verdicts.append({r.doc_id: (r.removed_words > 0, r.kept) for r in rows if r.doc_id < 100})
+    assert verdicts[0] == verdicts[1]
+    assert verdicts[0][0] == (True, False) and verdicts[0][10] == (True, True) and verdicts[0][1] == (False, True)
+
+
+def test_near_copies_do_not_remove_each_other(spark):
+    lines = [own(9000 + k) for k in range(10)]
+    rows = [(k, own(k)) for k in range(60)]
+    for k in range(200):  # each has another line changed
+        rows.append((100 + k, "\n".join(own(500 + k, k=6) if j == k % 10 else x for j, x in enumerate(lines))))
+    docs = cases.documents(spark, rows).drop("source").selectExpr("*", "'one' as source")
+    kept = {r.doc_id for r in quality_rules(docs).collect() if r.kept}
+    assert kept == {r[0] for r in rows}
+
+
 def test_empty_table(spark):
     assert quality_rules(cases.empty(spark)).count() == 0

@@ -2,8 +2,12 @@
 
 Lines are normalised (A-Z in lower case, digits as 0, white space as one space) and hashed; the
 distinct documents that hold a line are counted per host (here: source), where documents with equal
-texts are one; lines above the limit are removed; and documents of which too few words remain are
-rejected, as are those that fail the base rules.
+texts are one; lines above the limit, a share of the host's distinct documents, are removed; and
+documents of which too few words remain are rejected, as are those that fail the base rules.
+
+Near copies would make each other's lines frequent. Documents that would be rejected for their
+frequent lines and have one of the longest three of these in common therefore count about as one, in
+the lines' counts and in the host's size: each weighs one by the largest such group it is in.
 
 Two steps: one pass over the texts makes a small row per document (counts, its distinct line hashes
 and the words under each), which is written to the shared folder; the rest works on that table. A
@@ -150,23 +154,74 @@ def base_failed(min_words: int, max_repeat_percent: int) -> Column:
     )
 
 
+def _held(measured: DataFrame) -> DataFrame:
+    lines = measured.select("host", "text_key", F.explode("lines").alias("l"))
+    return lines.select("host", "text_key", F.col("l.line").alias("line"), F.col("l.words").alias("words"))
+
+
+def frequent_lines(
+    measured: DataFrame, max_share: float, least_docs: int, least_share: float
+) -> DataFrame:
+    """(host, line) of lines in more than ``max_share`` of a host's documents, near copies as one."""
+    held = _held(measured)
+    # lines in up to least_docs documents are never frequent
+    counts = written(
+        held.select("host", "line", "text_key").distinct().groupBy("host", "line").count()
+        .where(F.col("count") > least_docs), "line-counts",
+    )
+    texts = measured.groupBy("host", "text_key").agg(F.max("n_words").alias("n_words"))
+    sizes = texts.groupBy("host").agg(F.count("*").alias("docs"))
+
+    def limit(docs: Column) -> Column:
+        return F.greatest(F.lit(float(least_docs)), max_share * docs)
+
+    first = counts.join(sizes, "host").where(F.col("count") > limit(F.col("docs"))).select("host", "line")
+    hits = held.join(first, ["host", "line"]).groupBy("host", "text_key", "line").agg(F.max("words").alias("words"))
+    longest = F.slice(F.sort_array(F.collect_list(F.struct("words", "line")), False), 1, 3)
+    gone = hits.groupBy("host", "text_key").agg(F.sum("words").alias("gone"), longest.alias("longest"))
+    keys = gone.join(texts, ["host", "text_key"]).where(
+        F.col("n_words") - F.col("gone") < least_share * F.col("n_words")
+    ).select("host", "text_key", F.explode("longest.line").alias("line"))
+    groups = keys.groupBy("host", "line").agg(F.count("*").alias("alike"))
+    # what each near copy counts less than a whole document
+    copies = written(
+        keys.join(groups, ["host", "line"]).groupBy("host", "text_key")
+        .agg((1 - 1 / F.max("alike")).alias("less")), "near-copies",
+    )
+    fewer = held.join(copies, ["host", "text_key"]).groupBy("host", "text_key", "line").agg(
+        F.max("less").alias("less")
+    ).groupBy("host", "line").agg(F.sum("less").alias("fewer"))
+    smaller = copies.groupBy("host").agg(F.sum("less").alias("smaller"))
+    own = F.round(F.col("count") - F.coalesce("fewer", F.lit(0.0)), 6)
+    size = F.round(F.col("docs") - F.coalesce("smaller", F.lit(0.0)), 6)
+    return counts.join(sizes.join(smaller, "host", "left"), "host").join(
+        fewer, ["host", "line"], "left"
+    ).where(own > limit(size)).select("host", "line")
+
+
 def quality_rules(
-    docs: DataFrame, host: str | Column = "source", max_docs: int = 50, least_share: float = 0.2,
-    min_words: int = 10, max_repeat_percent: int = 20,
+    docs: DataFrame, host: str | Column = "source", max_docs: int | None = None, least_share: float = 0.2,
+    min_words: int = 10, max_repeat_percent: int = 20, max_share: float = 0.05, least_docs: int = 5,
 ) -> DataFrame:
     """Verdict per document: ``base_failed``, ``removed_words`` and ``kept``.
 
-    A line is removed where more than ``max_docs`` distinct texts of its host hold it; a document is
-    depleted if less than ``least_share`` of its words remain.
+    A line is removed where more than ``max_share`` of the distinct documents of its host hold it, and
+    more than ``least_docs`` (near copies count as one); with ``max_docs``, where more than so many
+    distinct texts do, whatever the host's size. A document is depleted if less than ``least_share``
+    of its words remain.
     """
     measured = written(measure(docs, host), "quality")
-    held = measured.select("host", "text_key", F.explode("lines").alias("l")).groupBy(
-        "host", F.col("l.line").alias("line"), "text_key"
-    ).agg(F.max("l.words").alias("words"))
-    frequent = held.groupBy("host", "line").count().where(F.col("count") > max_docs).drop("count")
-    removed = held.join(frequent, ["host", "line"]).groupBy("host", "text_key").agg(
-        F.sum("words").alias("removed_words")
-    )
+    held = _held(measured)
+    if max_docs is None:
+        frequent = frequent_lines(measured, max_share, least_docs, least_share)
+    else:
+        frequent = held.select("host", "line", "text_key").distinct().groupBy("host", "line").count().where(
+            F.col("count") > max_docs
+        ).drop("count")
+    # of a text's copies each line counts once
+    removed = held.join(frequent, ["host", "line"]).groupBy("host", "text_key", "line").agg(
+        F.max("words").alias("words")
+    ).groupBy("host", "text_key").agg(F.sum("words").alias("removed_words"))
     judged = measured.drop("lines").join(removed, ["host", "text_key"], "left")
     gone = F.coalesce("removed_words", F.lit(0))
     failed = base_failed(min_words, max_repeat_percent)
