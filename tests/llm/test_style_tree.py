@@ -81,5 +81,21 @@ def test_importance_follows_the_entropies(spark):
     assert box.content < 0.01 < 0.7 < story.content and box.importance < 0.2 < story.importance
 
 
+def test_the_tree_decides_within_articles(spark):
+    story = "<p>a story of its own, number {0} of many</p><p>it has <b>Note:</b> a second part {0}<br>and {0}</p>"
+    more = "<p>Subscribe now</p><ul><li>Notice to readers</li></ul>"
+    html = "<article><h1>T {0}</h1>" + story + " <span class='tip'>Tip!</span>" + more + "</article>"
+    rows = [(k, "http://h.org/", html.format(k)) for k in range(40)]
+    near = "<article><h1>Same</h1><p>a long paragraph that all of them share with each other</p><p>{0}</p></article>"
+    rows += [(100 + k, "http://h.org/", near.format(k)) for k in range(40)]
+    pages = spark.createDataFrame([(*r, "old", 1) for r in rows], SCHEMA)
+    got = {r.page_id: r.text for r in extract_text(pages).collect()}
+    for k in range(40):
+        own = f"T {k}\n\na story of its own, number {k} of many\n\nit has Note: a second part {k} and {k}"
+        assert got[k] == own
+        assert main_text(rows[k][2]) == own + "\n\nTip!\n\nSubscribe now\n\nNotice to readers"  # an empty tree
+        assert got[100 + k] == main_text(near.format(k))  # near copies keep their text
+
+
 def test_empty_table(spark):
     assert extract_text(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -8,10 +8,15 @@ all texts under the node. Branches in which all nodes are of low importance are
 
 Elements whose role HTML itself or their class names tell (menus, page headers and footers, asides,
 notices, adverts, forms, comments, scripts) are taken out without statistics, as small hosts have
-none: below ``least_pages`` pages a node is not judged. Text blocks of an article are never judged
-either, so copies of a page do not remove each other. If a page has an ``article`` or ``main``
+none: below ``least_pages`` pages a node is not judged. If a page has an ``article`` or ``main``
 element with text, its text is that element's.
 
+Text blocks (paragraphs, list items, headings) are leaves of the tree, by their text: one that stands
+in many of the host's pages is of low importance and goes, in articles too. There, elements that text
+consists of are judged by these leaves, and inline ones by their path if they have a class (others are
+part of a sentence). Pages of equal text count once, and a page of which most characters would go so
+is a copy of others rather than a page with notices: it keeps its blocks.
+
 The tree is built by Spark: a small row per page and node, counted per host and node with partial
 sums before the shuffle, so a host with a third of all pages costs no more than others. What meets the
 pages again is a list of element paths per host.
@@ -75,6 +80,9 @@ BESIDE = frozenset(
     "block list link links area section container item items unit slot form icon icons panel inner".split()
 )
 
+#: Text within a block; the verdict on its path reaches it in articles if it has a class.
+INLINE = FLOW - BLOCK - VOID
+
 #: Tasks that a host's pages are dealt to where the lists of its branches are too large to broadcast.
 SALTS = 64
 
@@ -274,7 +282,8 @@ def _blocks(node: Node, path: str, low: frozenset[str], in_article: bool) -> lis
                 stack.append(child)
             elif not child.apart:
                 below = _path(path, child)
-                if below not in low or (inside and child.tag in FLOW):
+                spared = inside and child.tag in FLOW and (child.tag not in INLINE or child.name == child.tag)
+                if below not in low or spared:
                     stack.append((child, below, inside))
     end()
     return out
@@ -298,48 +307,59 @@ def _articles(root: Node) -> list[tuple[Node, str]]:
     return []
 
 
+def _leaf(block: str) -> str:
+    """The name of a text block among a host's paths."""
+    return f"#{_feature(block)}"
+
+
+def _main_blocks(root: Node, low: frozenset[str] = frozenset()) -> list[str]:
+    """The blocks of the page's articles if these have any, else of the whole page."""
+    inside = [b for n, p in _articles(root) for b in _blocks(n, p, low, True)]
+    return inside or _blocks(root, "", low, False)
+
+
 def main_text(page: str, low: frozenset[str] = frozenset()) -> str:
-    """The main text of a page, without branches whose paths are in ``low``."""
-    root = parse(page)
-    for node, path in (*[(None, a) for a in [_articles(root)] if a], (root, "")):
-        if node is None:
-            blocks = [b for n, p in path for b in _blocks(n, p, low, True)]
-        else:
-            blocks = _blocks(root, "", low, False)
-        if blocks:
-            return "\n\n".join(blocks)
-    return ""
+    """The main text of a page, without branches whose paths, and blocks whose leaves are in ``low``."""
+    blocks = _main_blocks(parse(page), low)
+    own = [b for b in blocks if _leaf(b) not in low] if low else blocks
+    if 2 * sum(map(len, own)) >= sum(map(len, blocks)):
+        blocks = own
+    return "\n\n".join(blocks)
 
 
 # ---------------------------------------------------------------- the tree, in Spark
 
 
-def node_importance(pages: DataFrame, damping: float = 0.9) -> DataFrame:
-    """Per host and element path: pages that have it, presentation, content and joint importance."""
+def tree(pages: DataFrame) -> DataFrame:
+    """Per host and element path or block: the pages of different text that have it, and sums over them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, texts = (batch.column(k).to_pylist() for k in ("host", "html"))
-            host, path, kind, feature = [], [], [], []
+            host, path, kind, feature, text = [], [], [], [], []
             for h, page in zip(hosts, texts, strict=True):
-                for p, k, f in features(parse(page or "")):
+                root = parse(page or "")
+                blocks = _main_blocks(root)
+                key = _feature("\n\n".join(blocks))
+                for p, k, f in (*features(root), *((_leaf(b), 2, 0) for b in set(blocks))):
                     host.append(h)
+                    text.append(key)
                     path.append(p)
                     kind.append(k)
                     feature.append(f)
                 if len(host) > 50_000:
                     yield pa.RecordBatch.from_pydict(
-                        {"host": host, "path": path, "kind": pa.array(kind, pa.int32()), "feature": feature}
+                        {"host": host, "path": path, "kind": pa.array(kind, pa.int32()), "feature": feature, "text": text}
                     )
-                    host, path, kind, feature = [], [], [], []
+                    host, path, kind, feature, text = [], [], [], [], []
             if host:
                 yield pa.RecordBatch.from_pydict(
-                    {"host": host, "path": path, "kind": pa.array(kind, pa.int32()), "feature": feature}
+                    {"host": host, "path": path, "kind": pa.array(kind, pa.int32()), "feature": feature, "text": text}
                 )
 
     found = pages.select(url_host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
-    rows = found.mapInArrow(run, "host string, path string, kind int, feature long")
-    counts = rows.groupBy("host", "path", "kind", "feature").count()
+    rows = found.mapInArrow(run, "host string, path string, kind int, feature long, text long")
+    counts = rows.distinct().groupBy("host", "path", "kind", "feature").count()
 
     def total(kind: int, value) -> F.Column:
         return F.sum(F.when(F.col("kind") == kind, value).otherwise(0.0))
@@ -349,6 +369,17 @@ def node_importance(pages: DataFrame, damping: float = 0.9) -> DataFrame:
         total(2, n).alias("pages"), total(0, n).alias("texts"), total(0, n * F.ln(n)).alias("shared"),
         total(1, n * F.ln(n)).alias("styled"),
     )
+    # blocks of a single page are never low
+    return sums.where(~F.col("path").startswith("#") | (F.col("pages") > 1))
+
+
+def node_importance(pages: DataFrame, damping: float = 0.9) -> DataFrame:
+    """Per host and element path: pages that have it, presentation, content and joint importance."""
+    return _importance(tree(pages), damping)
+
+
+def _importance(sums: DataFrame, damping: float = 0.9) -> DataFrame:
+    sums = sums.where(~F.col("path").startswith("#"))
     base = F.ln("pages")
     alone = F.col("pages") <= 1
     # of one page nothing is known: all of it counts
@@ -383,11 +414,22 @@ def noise(nodes: DataFrame, least_importance: float, least_pages: int) -> DataFr
     ).agg(F.max("importance").alias("most")).where(F.col("most") < least_importance).drop("most")
 
 
+def shared_blocks(sums: DataFrame, least_importance: float, least_pages: int) -> DataFrame:
+    """(host, path) of blocks of low importance, in hosts of enough pages."""
+    hosts = sums.where("path = ''").select("host", F.col("pages").alias("all"))
+    content = 1 - F.ln("pages") / F.ln("all")
+    return sums.where(F.col("path").startswith("#")).join(hosts, "host").where(
+        (F.col("all") >= least_pages) & (content < least_importance)
+    ).select("host", "path")
+
+
 def extract_text(pages: DataFrame, least_importance: float = 0.3, least_pages: int = 10,
                  broadcast_bytes: int = 16 << 20) -> DataFrame:
     """``pages`` (url, html) with ``text`` and ``n_chars`` in place of the html."""
+    sums = written(tree(pages), "style-tree")
     low = written(
-        noise(node_importance(pages), least_importance, least_pages)
+        noise(_importance(sums), least_importance, least_pages)
+        .unionByName(shared_blocks(sums, least_importance, least_pages))
         .groupBy(F.col("host").alias("__host")).agg(F.collect_set("path").alias("__low")),
         "style-noise",
     )
