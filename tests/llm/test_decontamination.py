@@ -26,17 +26,26 @@ def distance(x, y):
     return last[-1]
 
 
+def nearest(w, x):
+    """Edit distance of x to the nearest run of words in w."""
+    last = [0] * (len(w) + 1)
+    for i, a in enumerate(x, 1):
+        now = [i]
+        for j, b in enumerate(w, 1):
+            now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (a != b)))
+        last = now
+    return min(last)
+
+
 def brute(rows, items, share):
-    out = set()
+    """{(doc_id, item_id): edits of the item's nearest run of words} within the bound."""
+    out = {}
     for doc_id, text in rows:
         w = words(text)
         for item_id, item in items:
             x = words(item)
-            m, near = len(x), []
-            if m >= 6:
-                near = [distance(w[k : k + m], x) for k in range(len(w) - m + 1)]
-            if near and min(near) <= most_edits(m, share):
-                out.add((doc_id, item_id, min(near), m))
+            if len(x) >= 6 and (edits := nearest(w, x)) <= most_edits(len(x), share):
+                out[doc_id, item_id] = edits
     return out
 
 
@@ -69,13 +78,15 @@ def test_recall_against_brute_force(spark):
     docs = cases.documents(spark, rows + [(1000 + k, t) for k, t in enumerate(cases.AWKWARD)])
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = contaminated(docs, benchmark, block=7)  # several blocks
-    got = {(r.doc_id, r.item_id, r.edits, r.n_words) for r in found.collect()}
+    got = {(r.doc_id, r.item_id): r for r in found.collect()}
     wanted = brute(rows, items, 0.2)
-    assert got <= wanted  # each is verified
+    lengths = {item_id: len(words(item)) for item_id, item in items}
+    assert set(got) <= set(wanted)  # each is verified
     assert len(got) >= 0.99 * len(wanted) and len(wanted) > 40
     texts = dict(rows)
-    for r in found.collect():
-        assert len(words(texts[r.doc_id][r.begin : r.end])) == r.n_words
+    for (doc_id, item_id), r in got.items():
+        run, item = words(texts[doc_id][r.begin : r.end]), words(dict(items)[item_id])
+        assert r.n_words == lengths[item_id] and wanted[doc_id, item_id] <= r.edits == distance(run, item)
     kept = decontaminate(docs, benchmark)
     assert kept.columns == docs.columns
     hit = {r[0] for r in got}
@@ -102,17 +113,6 @@ def test_distances_and_dropped_windows():
     assert (0, len(hashes)) in zip(starts.tolist(), lengths.tolist(), strict=True)
 
 
-def nearest(w, x):
-    """Edit distance of x to the nearest run of words in w."""
-    last = [0] * (len(w) + 1)
-    for i, a in enumerate(x, 1):
-        now = [i]
-        for j, b in enumerate(w, 1):
-            now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (a != b)))
-        last = now
-    return min(last)
-
-
 def test_passages_shorter_and_longer_than_the_item():
     rng = random.Random(7)
     names = [f"n{k}" for k in range(400)]
@@ -134,12 +134,9 @@ def test_passages_shorter_and_longer_than_the_item():
         texts.append(" ".join([*sides[0], *part, *sides[1]]))
     texts.append(" ".join(items[0][1].split()[1:]))
     got = {(r[0], r[1]): r for r in _hits(pa.array(texts), Index(items, 0.2))}
-    near = {
-        (k, i): nearest(words(t), words(item)) for k, t in enumerate(texts) for i, item in items
-    }
-    wanted = {k for k, e in near.items() if e <= most_edits(len(words(items[k[1]][1])), 0.2)}
-    assert set(got) <= wanted and len(wanted) >= 241 and (240, 0) in got
+    wanted = brute(enumerate(texts), items, 0.2)
+    assert set(got) <= set(wanted) and len(wanted) >= 241 and (240, 0) in got
     assert len(got) >= 0.99 * len(wanted)
     for (k, i), (_, _, edits, n_words, begin, end) in got.items():
-        assert edits == distance(words(texts[k][begin:end]), words(items[i][1])) and edits >= near[k, i]
+        assert edits == distance(words(texts[k][begin:end]), words(items[i][1])) and edits >= wanted[k, i]
         assert n_words == len(words(items[i][1]))
