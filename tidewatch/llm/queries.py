@@ -14,6 +14,7 @@ from tidewatch.llm.sharding import shard_rows
 from tidewatch.llm.style_tree import extract_text
 from tidewatch.llm.token_files import token_output
 from tidewatch.llm.url_filters import Rule, judge_urls, url_host
+from tidewatch.llm.vantage_trees import simhash_components
 from tidewatch.llm.warc import warc_round_trip
 
 RULES = [
@@ -92,6 +93,10 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash_components(table(spark, sf, "documents"), n=4, limit=4)
+
+
 REGISTERED = {
     "op1_token_output": op1_token_output,
     "op2_language_id": op2_language_id,
@@ -103,6 +108,7 @@ REGISTERED = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
 }
 
 HOST = (
