@@ -9,7 +9,7 @@ in full, so the links are exact.
 
 One tree over all fingerprints cuts them into shards. Each fingerprint is a point of one shard and a
 query to that one and to the shards of higher number that its ball overlaps; each shard builds its
-own tree over narrower parts. Only the forest of each shard's links leaves a task.
+own tree around other vantage points. Only the forest of each shard's links leaves a task.
 """
 
 from __future__ import annotations
@@ -31,10 +31,11 @@ BITS = 64
 SHARD_POINTS = 32_768
 #: Fingerprints that choose the vantage points and cuts of the shards; they bear on balance alone.
 SAMPLE = 65_536
-#: Bits of a part, in the tree over all fingerprints and in that of a shard.
-WIDE, NARROW = 16, 8
-#: A node with fewer pairs is compared in full; so many bits are summed at a time.
-FEW_PAIRS = 1 << 17
+#: Bits of a part: narrower ones prune more in deep trees, wider ones in shallow trees.
+WIDTH = 16
+#: A node with fewer pairs is compared in full.
+FEW_PAIRS = 1 << 19
+#: So many links wait to be united, and so many bits are summed at a time.
 BLOCK = 1 << 19
 
 
@@ -107,7 +108,7 @@ def shard_tree(sample: np.ndarray, total: int, points: int = SHARD_POINTS) -> tu
     ``sample`` is in random order. A node that isn't small enough is cut into shells of like size on
     the next part; equal distances stay together, so a shard can come out larger.
     """
-    masks = parts(WIDE)
+    masks = parts(WIDTH)
     shards = 0
 
     def build(some: np.ndarray, level: int) -> Node | int:
@@ -120,12 +121,12 @@ def shard_tree(sample: np.ndarray, total: int, points: int = SHARD_POINTS) -> tu
         away = distance(some, vantage, mask)
         least = len(some) / min(8, int(np.ceil(wanted)))
         ends, held = [], 0
-        for d, n in enumerate(np.bincount(away, minlength=WIDE + 1)):
+        for d, n in enumerate(np.bincount(away, minlength=WIDTH + 1)):
             held += n
             if held >= least:
                 ends.append(d)
                 held = 0
-        ends = [*ends[: -1 if held < least / 2 else None], WIDE]
+        ends = [*ends[: -1 if held < least / 2 else None], WIDTH]
         shell = np.searchsorted(ends, away)
         return Node(vantage, mask, ends, [build(some[shell == k], level + 1) for k in range(len(ends))])
 
@@ -140,7 +141,7 @@ def visits(tree: Node | int, x: np.ndarray, limit: int) -> tuple[np.ndarray, np.
         if isinstance(node, int):
             found.append((rows, np.full(len(rows), node), home))
             return
-        if level % (BITS // WIDE) == 0:  # gaps add up over disjoint parts, not over one that serves again
+        if level % (BITS // WIDTH) == 0:  # gaps add up over disjoint parts, not over one that serves again
             left = np.full(len(rows), limit, np.int16)
         away, low = distance(x[rows], node.vantage, node.mask), 0
         for end, child in zip(node.ends, node.children, strict=True):
@@ -167,7 +168,8 @@ def forest(points: np.ndarray, others: np.ndarray, limit: int) -> tuple[np.ndarr
     label = np.arange(len(nodes))
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
     held = 0
-    masks = parts(NARROW)
+    masks = parts(WIDTH)
+    room = np.empty(max(FEW_PAIRS, len(points)), np.uint64)
 
     def unite() -> None:
         nonlocal label, held
@@ -184,15 +186,18 @@ def forest(points: np.ndarray, others: np.ndarray, limit: int) -> tuple[np.ndarr
         nonlocal held
         if (label[p] == label[p[0]]).all():
             q = q[label[q] != label[p[0]]]
-        step = max(1, BLOCK // len(p))
+        step = max(1, len(room) // len(p))
+        x, y = nodes[p], nodes[q]
         for k in range(0, len(q), step):
-            some = q[k : k + step]
-            near = np.bitwise_count(nodes[some][:, None] ^ nodes[p][None, :]) <= limit
-            i, j = np.nonzero(near)
-            waiting.append((some[i], p[j]))
-            held += len(i)
-            if held > BLOCK:
-                unite()
+            some = y[k : k + step, None]
+            differ = room[: some.size * len(p)].reshape(len(some), len(p))
+            np.bitwise_xor(some, x, out=differ)
+            near = np.flatnonzero(np.bitwise_count(differ).ravel() <= limit)
+            if len(near):
+                waiting.append((q[k + near // len(p)], p[near % len(p)]))
+                held += len(near)
+                if held > BLOCK:
+                    unite()
 
     def search(p: np.ndarray, q: np.ndarray, left: np.ndarray, level: int) -> None:
         if len(p) * len(q) <= FEW_PAIRS or level == 2 * len(masks):
