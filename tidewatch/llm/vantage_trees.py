@@ -27,8 +27,9 @@ from tidewatch.llm.components import components, local_roots
 from tidewatch.llm.folders import written
 
 BITS = 64
-#: Aimed number of points in a shard. A task holds its points and queries, 8 bytes each.
-SHARD_POINTS = 32_768
+#: Aimed number of points in a shard. A task holds its points and queries, 8 bytes each; the larger the
+#: shards, the fewer of them a ball overlaps, and the fewer copies of a fingerprint travel.
+SHARD_POINTS = 65_536
 #: Fingerprints that choose the vantage points and cuts of the shards; they bear on balance alone.
 SAMPLE = 65_536
 #: Bits of a part: narrower ones prune more in deep trees, wider ones in shallow trees.
@@ -243,7 +244,7 @@ def links(distinct: DataFrame, limit: int, points: int = SHARD_POINTS) -> DataFr
     # a shard that many visit is asked in pieces, each with all of its points
     row, shard, home = visits(tree, sample, limit)
     asked = np.bincount(shard[~home], minlength=shards) * (total / max(1, len(sample)))
-    pieces = 1 + (asked // (16 * points)).astype(np.int64)
+    pieces = 1 + (asked // (8 * points)).astype(np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
