@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.decontamination import contaminated
+from tidewatch.llm.equal_average import vector_codes
 from tidewatch.llm.jaccard_join import jaccard_components
 from tidewatch.llm.language import fit, held_out, identify, learnable
 from tidewatch.llm.line_frequency import quality_rules
@@ -97,6 +98,10 @@ def op11_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_components(table(spark, sf, "documents"), n=4, limit=4)
 
 
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes(table(spark, sf, "embeddings"), parts=16, entries=64, rounds=2)
+
+
 REGISTERED = {
     "op1_token_output": op1_token_output,
     "op2_language_id": op2_language_id,
@@ -109,6 +114,7 @@ REGISTERED = {
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 HOST = (
@@ -137,4 +143,51 @@ select page_id, p.host, p.path, rule,
 from parts p left join best b on p.host = b.host and p.path = b.path
 """
 
-ORACLE = {"op9_url_filters": OP9}
+
+
+def _op12() -> str:
+    """Rounds written out; each takes every distance, so that nothing depends on the search."""
+
+    def assigned(k: int) -> str:
+        return f"""
+distances{k} as (
+    select rid, c.p, e, sum((x - y) * (x - y)) as d
+    from cells c join books{k} b on c.p = b.p and c.j = b.j group by rid, c.p, e
+), nearest{k} as (
+    select rid, p, e, d from distances{k}
+    qualify row_number() over (partition by rid, p order by d, e) = 1
+)"""
+
+    def moved(k: int) -> str:
+        return f"""
+means{k} as (
+    select c.p, e, j, cast(floor(cast(sum(x) as double) / count(*)) as bigint) as y
+    from cells c join nearest{k} n on c.rid = n.rid and c.p = n.p group by c.p, e, j
+), books{k + 1} as (
+    select b.p, b.e, b.j, coalesce(m.y, b.y) as y
+    from books{k} b left join means{k} m on b.p = m.p and b.e = m.e and b.j = m.j
+)"""
+
+    return f"""
+with kept as (
+    select vec_id, label, embedding, row_number() over (order by vec_id nulls last, embedding) as rid
+    from embeddings
+    where len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+), cells as (
+    select rid, cast(k // (len(embedding) // 16) as bigint) as p, cast(k % (len(embedding) // 16) as bigint) as j,
+           cast(floor(256 * cast(embedding[k + 1] as double)) as bigint) as x
+    from (select rid, embedding, unnest(range(len(embedding))) as k from kept)
+), books0 as (
+    select p, rid - 1 as e, j, x as y from cells where rid <= 64
+), {assigned(0)}, {moved(0)}, {assigned(1)}, {moved(1)}, {assigned(2)}, digest as (
+    select sha256(string_agg(cast(y as varchar), ',' order by p, e, j)) as codebooks_sha256 from books2
+), coded as (
+    select rid, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error
+    from nearest2 group by rid
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded join kept using (rid) cross join digest
+"""
+
+
+ORACLE = {"op9_url_filters": OP9, "op12_vector_codes": _op12()}
