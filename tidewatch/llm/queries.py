@@ -172,7 +172,7 @@ means{k} as (
 with kept as (
     select vec_id, label, embedding, row_number() over (order by vec_id nulls last, embedding) as rid
     from embeddings
-    where len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    where len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ), cells as (
     select rid, cast(k // (len(embedding) // 16) as bigint) as p, cast(k % (len(embedding) // 16) as bigint) as j,
            cast(floor(256 * cast(embedding[k + 1] as double)) as bigint) as x
