@@ -17,6 +17,7 @@ from tidewatch.llm.token_files import token_output
 from tidewatch.llm.url_filters import Rule, judge_urls, url_host
 from tidewatch.llm.vantage_trees import simhash_components
 from tidewatch.llm.warc import warc_round_trip
+from tidewatch.llm.whitening import whitened
 
 RULES = [
     Rule("net", "/", "block"),
@@ -102,6 +103,12 @@ def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     return vector_codes(table(spark, sf, "embeddings"), parts=16, entries=64, rounds=2)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """A deviation that doesn't fit a long, from some 40 million rows on, is null here."""
+    rows = whitened(table(spark, sf, "embeddings"), components=32)
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 REGISTERED = {
     "op1_token_output": op1_token_output,
     "op2_language_id": op2_language_id,
@@ -115,6 +122,7 @@ REGISTERED = {
     "op10_sharding": op10_sharding,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
     "op12_vector_codes": op12_vector_codes,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 HOST = (
