@@ -45,6 +45,46 @@ def test_stream_equals_batch_and_resumes(spark, tables, tmp_path, name):
     assert same_rows(monitored().measure(AT), run_checks(everything, suite, AT))
 
 
+def test_killed_before_a_batch_was_committed(spark, tables, tmp_path):
+    """The state of the last batch is kept, but the progress doesn't say so: the batch runs again."""
+    path, folder = str(tmp_path / "table"), tmp_path / "monitor"
+    half = "metric_date < '2026-03-01'"
+    tables.drift.where(half).repartition(4).write.parquet(path)
+
+    def monitored():
+        stream = stream_table(spark, path, tables.drift.schema, files_per_batch=2)
+        return start_monitor(stream, drift_suite(), str(folder)).wait()
+
+    before = monitored()
+    assert before.last_batch() == 1
+    for name in ("1", ".1.crc"):
+        for progress in folder.glob(f"*/commits/{name}"):
+            progress.unlink()
+    assert len(list(folder.glob("*/commits/0"))) == 2
+    again = monitored()
+    assert again.last_batch() == 1
+    assert same_rows(again.measure(AT), run_checks(tables.drift.where(half), drift_suite(), AT))
+    tables.drift.where(f"not ({half})").write.mode("append").parquet(path)
+    assert same_rows(monitored().measure(AT), run_checks(tables.drift, drift_suite(), AT))
+
+
+def test_killed_before_a_batch_was_measured(spark, tables, tmp_path):
+    path, folder, log = (str(tmp_path / k) for k in ("table", "monitor", "log"))
+    tables.drift.write.parquet(path)
+    suite = Suite("DB", "S", "T", (c.row_count.on(), c.cardinality.on("metric_name")))
+
+    def monitor():
+        return start_monitor(stream_table(spark, path, tables.drift.schema), suite, folder)
+
+    monitor().wait()  # and no measurement
+    for _ in range(2):
+        keep_measuring(monitor(), log, lambda: AT, poll_seconds=0.1)
+        rows = read_measurements(spark, log).collect()
+        assert sorted((r.metric_name, r.value) for r in rows) == [
+            ("CARDINALITY", 3), ("ROW_COUNT", tables.drift.count())
+        ]
+
+
 def test_state_on_disk(spark, tables, tmp_path):
     path = str(tmp_path / "table")
     tables.drift.repartition(4).write.parquet(path)

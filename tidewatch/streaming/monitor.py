@@ -1,10 +1,11 @@
 """Continuous measurement: re-measure a table whenever rows arrive.
 
 A measurement covers the whole table, not the rows that just arrived. The stream therefore keeps the
-suite's per-date partial aggregates as its state, and each measurement merges them. State and
-progress live in the checkpoint, so a repeated or resumed batch is counted once. Keyed checks keep
-their distinct keys: the first row of every key goes to a file sink, and counting that table gives
-the number of distinct keys.
+suite's per-date partial aggregates as its state, and each measurement merges them. For keyed checks
+Spark's state store knows the keys seen so far; only the number of new ones in each batch is added
+up, so a measurement reads one number however many keys there are. State and progress are kept with
+each batch (see ``tidewatch.streaming.state``): a repeated or resumed batch counts once, and a run
+that was killed goes on, or is measured, where its last finished batch ended.
 """
 
 from __future__ import annotations
@@ -18,17 +19,18 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewatch.functions.numeric import wall_clock
 from tidewatch.operators.checks import KeyedCheck, cardinality, duplicate_count
 from tidewatch.operators.suite import ROWS, Suite, measure_partials
 from tidewatch.session import shared_folder
-from tidewatch.sources.tables import append_measurements
+from tidewatch.sources.tables import append_measurements, read_measurements
+from tidewatch.streaming.state import FORMAT, StateSink, kept_state, newest_batch
 
 
 def stream_table(
@@ -44,20 +46,23 @@ def stream_table(
     return reader.parquet(path)
 
 
+KEYS = StructType([StructField("keys", LongType())])
+
+
 @dataclass
 class Monitor:
     """The running queries of one suite over one stream."""
 
     spark: SparkSession
     suite: Suite
-    name: str
     folder: str
     partials: StreamingQuery
-    keyed: dict[int, tuple[StreamingQuery, str, StructType]]
+    schema: StructType
+    keyed: dict[int, StreamingQuery]
 
     @property
     def queries(self) -> list[StreamingQuery]:
-        return [self.partials, *(query for query, _, _ in self.keyed.values())]
+        return [self.partials, *self.keyed.values()]
 
     @property
     def identity(self) -> str:
@@ -65,56 +70,26 @@ class Monitor:
         return hashlib.sha256(self.folder.encode()).hexdigest()[:16]
 
     def wait(self) -> Monitor:
-        """Wait for queries that end by themselves (available data only) and keep their state."""
+        """Wait for queries that end by themselves (available data only)."""
         for query in self.queries:
             query.awaitTermination()
-        self.keep_state()
         return self
 
     def stop(self) -> None:
         for query in self.queries:
             query.stop()
 
-    def _newest_batch(self) -> int | None:
-        """Number of the newest batch with rows in this run (idle triggers report progress as well)."""
-        with_rows = [p["batchId"] for p in self.partials.recentProgress if p["numInputRows"] > 0]
-        return max(with_rows, default=None)
-
-    def _filled(self) -> bool:
-        # the first batch of a run fills the in-memory table, starting the query does not
-        return not self.spark.table(self.name).isEmpty()
+    def last_batch(self) -> int | None:
+        """Number of the last finished batch with rows, of this run or an earlier one."""
+        return newest_batch(f"{self.folder}/state")
 
     def _quiet(self) -> bool:
         """Whether no query is in the middle of a batch."""
         return not any(q.isActive and q.status["isTriggerActive"] for q in self.queries)
 
-    def _last_batch(self) -> int | None:
-        """Number of the last finished batch of all runs."""
-        progress = self.spark.read.format("state-metadata").load(f"{self.folder}/partials")
-        return progress.agg(F.max("maxBatchId")).first()[0]
-
-    def keep_state(self) -> None:
-        """Write the per-date partial aggregates next to the progress, for a run without new rows."""
-        if self._filled():
-            path = f"{self.folder}/state/batch-{self._last_batch()}"
-            self.spark.table(self.name).write.mode("overwrite").parquet(path)
-
     def state(self) -> DataFrame:
         """The per-date partial aggregates after the last finished batch."""
-        current = self.spark.table(self.name)
-        last = self._last_batch()
-        if last is None or self._filled():
-            return current
-        try:
-            return self.spark.read.schema(current.schema).parquet(
-                f"{self.folder}/state/batch-{last}"
-            )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            raise RuntimeError(
-                "the last run ended before its state was kept; measure into a new folder"
-            ) from error
+        return kept_state(self.spark, f"{self.folder}/state", self.schema)
 
     def measure(self, measured_at) -> DataFrame:
         """Measurement rows of the whole table as streamed so far."""
@@ -123,12 +98,12 @@ class Monitor:
         parts = []
         if any(not isinstance(b.check, KeyedCheck) for b in self.suite.bindings):
             parts.append(measure_partials(state, self.suite, measured_at))
-        for i, (_, out, schema) in self.keyed.items():
-            keys = self.spark.read.schema(schema).parquet(out)
+        for i in self.keyed:
+            keys = kept_state(self.spark, f"{self.folder}/keys-{i}", KEYS)
+            distinct = keys.agg(F.coalesce(F.sum("keys"), F.lit(0)).alias("n"))
             if self.suite.bindings[i].check is cardinality:
-                value = keys.agg(F.count("column").alias(f"m{i}"))
+                value = distinct.withColumnRenamed("n", f"m{i}")
             else:
-                distinct = keys.agg(F.count(F.lit(1)).alias("n"))
                 rows = state.agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"))
                 value = rows.crossJoin(F.broadcast(distinct)).select(
                     (F.col("rows") - F.col("n")).alias(f"m{i}")
@@ -153,14 +128,14 @@ def start_monitor(
     if folder is None:
         folder = f"{shared_folder(spark)}/monitor-{uuid.uuid4().hex}"
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    name = f"monitor_{uuid.uuid4().hex}"
+    spark.dataSource.register(StateSink)
+
+    def kept(frame: DataFrame, mode: str, state: str, progress: str) -> StreamingQuery:
+        return (
+            frame.writeStream.outputMode(mode).format(FORMAT).option("folder", f"{folder}/{state}")
+            .option("checkpointLocation", f"{folder}/{progress}").trigger(**trigger).start()
+        )
 
-    # one row per date: small enough for the in-memory table, which complete mode refills per batch
-    partials = suite.partials(stream, count_rows=True)
-    query = (
-        partials.writeStream.outputMode("complete").format("memory").queryName(name)
-        .option("checkpointLocation", f"{folder}/partials").trigger(**trigger).start()
-    )
     def once_per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a stream's deduplication shuffles every row by its key; copies of a key are dropped here
         # first, so that a key with very many rows does not end up in one task
@@ -168,22 +143,25 @@ def start_monitor(
             table = pa.Table.from_batches([batch])
             yield from table.group_by(table.column_names).aggregate([]).to_batches()
 
+    partials = suite.partials(stream, count_rows=True)
     keyed = {}
     for i, b in suite.of_family(KeyedCheck):
         if b.check not in (cardinality, duplicate_count):
             raise ValueError(f"{b.check.name} has no streaming form")
+
+        def counted(batches: Iterator[pa.RecordBatch], nulls: bool) -> Iterator[pa.RecordBatch]:
+            n = sum(pc.count(x.column(0), "all" if nulls else "only_valid").as_py() for x in batches)
+            yield pa.RecordBatch.from_pydict({"keys": pa.array([n], pa.int64())})
+
         names = ["column"] if b.check is cardinality else b.columns
         keys = stream.select(*(F.col(c).alias(n) for c, n in zip(b.columns, names, strict=True)))
-        keys = keys.mapInArrow(once_per_batch, keys.schema)
-        out = f"{folder}/keys-{i}"
-        keyed[i] = (
-            keys.dropDuplicates().writeStream.outputMode("append").format("parquet")
-            .option("path", out).option("checkpointLocation", f"{folder}/keys-{i}-progress")
-            .trigger(**trigger).start(),
-            out,
-            keys.schema,
-        )
-    return Monitor(spark, suite, name, folder, query, keyed)
+        new = keys.mapInArrow(once_per_batch, keys.schema).dropDuplicates()
+        nulls = b.check is duplicate_count
+        numbers = new.mapInArrow(lambda x, nulls=nulls, counted=counted: counted(x, nulls), KEYS)
+        keyed[i] = (numbers, f"keys-{i}", f"keys-{i}-progress")
+    started = {i: kept(frame, "append", state, progress) for i, (frame, state, progress) in keyed.items()}
+    query = kept(partials, "complete", "state", "partials")
+    return Monitor(spark, suite, folder, query, partials.schema, started)
 
 
 def keep_measuring(
@@ -196,18 +174,19 @@ def keep_measuring(
 
     Rows carry the batch number, and measuring a batch again replaces its rows. A measurement is taken
     when all queries of the monitor have finished the trigger, so that they have seen the same rows.
+    The first batch measured may be one that an earlier run finished and did not live to measure.
     """
-    done = None
+    earlier = read_measurements(monitor.spark, log_path).where(F.col("monitor") == monitor.identity)
+    done = earlier.agg(F.max("batch_id")).first()[0]
     while True:
         running = any(q.isActive for q in monitor.queries)
         for query in monitor.queries:  # a dead part would freeze its share of each measurement
             if (error := query.exception()) is not None:
                 monitor.stop()
                 raise error
-        newest = monitor._newest_batch()
+        newest = monitor.last_batch()
         if newest is not None and newest != done and monitor._quiet():
             append_measurements(monitor.measure(clock()), log_path, newest, monitor.identity)
-            monitor.keep_state()
             done = newest
         if not running:
             return
