@@ -142,6 +142,58 @@ def test_duplicates_and_cardinality(spark):
     assert one(frame, c.cardinality.on("k", approximate=True)) == 2
 
 
+def test_keyed_checks_share_a_shuffle(spark):
+    frame = spark.createDataFrame(
+        [("a", 1, 0.0, None), ("a", 1, -0.0, b"x"), ("a", 1, float("nan"), None), (None, 2, 1.0, b"x"),
+         (None, 2, None, b"y"), ("b", None, float("nan"), b"y"), ("1", 1, 1.0, None)],
+        "k string, n int, v double, b binary",
+    )
+    bindings = (
+        c.duplicate_count.on("k", "n"), c.duplicate_count.on("n", "k"), c.cardinality.on("k"),
+        c.cardinality.on("n"), c.duplicate_count.on("v"), c.cardinality.on("v"), c.cardinality.on("b"),
+        c.duplicate_count.on("b", "v"), c.cardinality.on("k", approximate=True),
+    )
+    together = values(frame, *bindings)
+    assert together == [one(frame, b) for b in bindings]
+    assert together[:6] == [3, 3, 3, 2, 3, 3]
+    assert values(frame.limit(0), *bindings) == [0] * 9
+    suite = Suite("DB", "S", "T", bindings[:8])
+    plan = run_checks(frame, suite, dt.datetime(2024, 1, 1))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and plan.count("hashpartitioning(binding") <= 2
+
+
+def test_several_date_columns(spark):
+    rows = [(day(i), day(2 * i) if i % 5 else None, float(i % 3)) for i in range(12) for _ in range(1 + i % 2)]
+    frame = spark.createDataFrame(rows, "d date, e date, v double")
+    bindings = (
+        c.date_gaps.on("d"), c.date_gaps.on("e"), c.volume_anomaly.on("e"), c.volume_anomaly.on("d"),
+        c.mean_drift.on("e", "v"), c.mean_drift.on("d", "v"), c.row_count.on(), c.null_count.on("e"),
+        c.minimum.on("v"), c.maximum.on("v"), c.freshness.on("e", as_of=dt.datetime(2024, 6, 1)),
+    )
+    together = values(frame, *bindings)
+    assert together == [one(frame, b) for b in bindings]
+    assert together[:2] == [0, 8] and together[6:8] == [18, 4]
+    assert values(frame.limit(0), *bindings)[:4] == [0, 0, None, None]
+    plan = run_checks(frame, Suite("DB", "S", "T", bindings), dt.datetime(2024, 1, 1))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+
+
+def test_partials_of_parts_merge(spark):
+    rng = random.Random(3)
+    rows = [(day(i % 9), 1e6 + rng.gauss(0, 1) if i % 7 else None, day(i % 4), i % 6) for i in range(200)]
+    frame = spark.createDataFrame([*rows, (None, 5.0, None, None)], "d date, v double, e date, part int")
+    checks = (
+        c.row_count.on(), c.null_count.on("v"), c.minimum.on("v"), c.maximum.on("v"), c.volume_anomaly.on("d"),
+        c.mean_drift.on("d", "v"), c.date_gaps.on("d"), c.freshness.on("d", as_of=dt.datetime(2024, 6, 1)),
+    )
+    at = F.lit(dt.datetime(2024, 1, 1))
+    for bindings in (checks, (*checks, c.date_gaps.on("e"), c.mean_drift.on("e", "v")), checks[:4]):
+        suite = Suite("DB", "S", "T", bindings)
+        whole = suite.measure(suite.partials(frame), at).first()
+        merged = suite.measure(suite.merged(suite.partials(frame, by=["part"])), at).first()
+        assert list(merged) == pytest.approx(list(whole), abs=1e-4)
+
+
 def test_nulls_are_no_violations(spark):
     frame = spark.createDataFrame([("x",), (None,), ("y",)], "s string")
     assert one(frame, c.accepted_values.on("s", accepted=["x"])) == 1

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tidewatch.functions.numeric import round_half_up, seconds_between, wall_clock
@@ -23,8 +23,17 @@ from tidewatch.functions.numeric import round_half_up, seconds_between, wall_clo
 SYSTEM_SCHEMA = "CORE"
 CUSTOM_SCHEMA = "RULES"
 
-# name of a partial aggregate or context value -> its column
-Lookup = Callable[[str], Column]
+
+@dataclass(frozen=True)
+class Lookup:
+    """Name of a partial aggregate or context value -> its column; ``dates`` is the window of all dates."""
+
+    columns: Callable[[str], Column]
+    dates: WindowSpec
+
+    def __call__(self, name: str) -> Column:
+        return self.columns(name)
+
 
 
 @dataclass(frozen=True)
@@ -93,6 +102,10 @@ class SeriesCheck(Check):
     context: Callable[[Lookup], dict[str, Column]] | None = None
     # aggregate over the dates that gives the measured value
     finish: Callable[..., Column] = None
+    # aggregates that make one row of several rows of partials per date (``dates`` is then one date)
+    merge: Callable[[Lookup], dict[str, Column]] | None = None
+    # named values over the rows of a date for ``merge``
+    merge_context: Callable[[Lookup], dict[str, Column]] | None = None
 
 
 @dataclass(frozen=True)
@@ -222,6 +235,7 @@ volume_anomaly = register(
         ("date",),
         partials=lambda: {"rows": F.count(F.lit(1))},
         finish=_volume_finish,
+        merge=lambda p: {"rows": F.sum(p("rows"))},
     )
 )
 """1 if the row count of the newest date is more than ``limit`` deviations from the mean of the
@@ -242,9 +256,24 @@ def _mean_partials(value: Column) -> dict[str, Column]:
 def _mean_context(p: Lookup) -> dict[str, Column]:
     # mean of all rows before the newest date, known to every date
     weight = F.when(p("date") < p("latest"), p("n"))
-    everywhere = Window.partitionBy()
-    total = F.sum(weight * p("mean")).over(everywhere)
-    return {"history_mean": total / F.nullif(F.sum(weight).over(everywhere), F.lit(0))}
+    total = F.sum(weight * p("mean")).over(p.dates)
+    return {"history_mean": total / F.nullif(F.sum(weight).over(p.dates), F.lit(0))}
+
+
+def _mean_merge_context(p: Lookup) -> dict[str, Column]:
+    total = F.sum(p("n") * p("mean")).over(p.dates)
+    return {"whole_mean": total / F.nullif(F.sum(p("n")).over(p.dates), F.lit(0))}
+
+
+def _mean_merge(p: Lookup) -> dict[str, Column]:
+    between = p("n") * F.pow(p("mean") - p("whole_mean"), F.lit(2))
+    return {
+        "n": F.sum(p("n")),
+        "mean": F.max(p("whole_mean")),
+        "m2": F.sum(F.when(p("n") > 0, p("m2") + between)),
+        "low": F.min(p("low")),
+        "high": F.max(p("high")),
+    }
 
 
 def _mean_finish(p: Lookup, digits: int = 4) -> Column:
@@ -267,6 +296,8 @@ mean_drift = register(
         partials=_mean_partials,
         context=_mean_context,
         finish=_mean_finish,
+        merge=_mean_merge,
+        merge_context=_mean_merge_context,
     )
 )
 """Distance of the newest date's mean from the mean of all earlier rows, in deviations of those
@@ -274,7 +305,7 @@ rows, rounded; NULL without earlier rows or variation."""
 
 
 def _gap_context(p: Lookup) -> dict[str, Column]:
-    return {"previous": F.lag(p("date")).over(Window.orderBy(p("date")))}
+    return {"previous": F.lag(p("date")).over(p.dates.orderBy(p("date")))}
 
 
 def _gap_finish(p: Lookup) -> Column:
@@ -288,6 +319,7 @@ date_gaps = register(
         partials=lambda: {},
         context=_gap_context,
         finish=_gap_finish,
+        merge=lambda p: {},
     )
 )
 """Number of neighbouring dates that are more than one day apart (gaps, not missing days)."""

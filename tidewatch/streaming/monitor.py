@@ -104,7 +104,7 @@ class Monitor:
             if self.suite.bindings[i].check is cardinality:
                 value = distinct.withColumnRenamed("n", f"m{i}")
             else:
-                rows = state.agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"))
+                rows = self.suite.whole_rows(state).agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"))
                 value = rows.crossJoin(F.broadcast(distinct)).select(
                     (F.col("rows") - F.col("n")).alias(f"m{i}")
                 )

@@ -626,23 +626,61 @@ FINAL["pick_lists"] = """select distinct 'metric' as field, metric_name as choic
 # ------------------------------------------------------------------ continuous measurement
 
 CTES["arrived"] = "select *, cast(ts as date) as d from events"
-FINAL["monitor_stream"] = union(
+
+
+def event_suite(source: str) -> str:
+    """The measurements of ``event_checks`` in the workload."""
+    return union(
+        *(
+            measured(check, columns, value, source, "EVENTS")
+            for check, columns, value in (
+                ("ROW_COUNT", "", "count(*)"),
+                ("NULL_COUNT", "value", "count(*) filter (value is null)"),
+                ("FRESHNESS", "ts", SECONDS.format("2024-02-01 00:00:00", "ts")),
+                ("MIN", "value", "min(value)"),
+                ("MAX", "value", "max(value)"),
+                ("VALUE_RANGE", "event_type,value",
+                 "count(*) filter (event_type = 'click' and (value < 0 or value > 250))"),
+                ("VOLUME_ANOMALY", "d", volume("d", source)),
+                ("MEAN_DRIFT", "d,value", shift("d", "value", source)),
+                ("DATE_GAPS", "d", gaps("d", source)),
+                ("CARDINALITY", "event_type", "count(distinct event_type)"),
+                ("DUPLICATE_COUNT", "user_id,event_type,d",
+                 duplicates("user_id, event_type, d", source)),
+            )
+        )
+    )
+
+
+FINAL["monitor_stream"] = event_suite("arrived")
+CTES["rebuilt"] = """
+select event_type, user_id, ts, case when event_type = 'click' then value + 1 else value end as value, cast(ts as date) as d
+from events
+union all
+select event_type, user_id, ts, value, cast(ts as date) from events where event_type = 'purchase'
+"""
+FINAL["monitor_rebuilt"] = event_suite("rebuilt")
+
+CTES["timed_lines"] = """
+select cast(l_shipdate as date) as shipped, cast(l_shipdate as date) + cast(l_linenumber * l_linenumber as integer) as due,
+       l_quantity as quantity, l_orderkey, l_linenumber, l_partkey, l_returnflag
+from lineitem
+"""
+FINAL["check_suite_two_dates"] = union(
     *(
-        measured(check, columns, value, "arrived", "EVENTS")
+        measured(check, columns, value, "timed_lines", "LINES")
         for check, columns, value in (
             ("ROW_COUNT", "", "count(*)"),
-            ("NULL_COUNT", "value", "count(*) filter (value is null)"),
-            ("FRESHNESS", "ts", SECONDS.format("2024-02-01 00:00:00", "ts")),
-            ("MIN", "value", "min(value)"),
-            ("MAX", "value", "max(value)"),
-            ("VALUE_RANGE", "event_type,value",
-             "count(*) filter (event_type = 'click' and (value < 0 or value > 250))"),
-            ("VOLUME_ANOMALY", "d", volume("d", "arrived")),
-            ("MEAN_DRIFT", "d,value", shift("d", "value", "arrived")),
-            ("DATE_GAPS", "d", gaps("d", "arrived")),
-            ("CARDINALITY", "event_type", "count(distinct event_type)"),
-            ("DUPLICATE_COUNT", "user_id,event_type,d",
-             duplicates("user_id, event_type, d", "arrived")),
+            ("DATE_GAPS", "shipped", gaps("shipped", "timed_lines")),
+            ("DATE_GAPS", "due", gaps("due", "timed_lines")),
+            ("VOLUME_ANOMALY", "due", volume("due", "timed_lines")),
+            ("MEAN_DRIFT", "shipped,quantity", shift("shipped", "quantity", "timed_lines")),
+            ("MEAN_DRIFT", "due,quantity", shift("due", "quantity", "timed_lines")),
+            ("MAX", "quantity", "max(quantity)"),
+            ("DUPLICATE_COUNT", "l_orderkey,l_linenumber", duplicates("l_orderkey, l_linenumber", "timed_lines")),
+            ("DUPLICATE_COUNT", "l_partkey,shipped", duplicates("l_partkey, shipped", "timed_lines")),
+            ("CARDINALITY", "l_partkey", "count(distinct l_partkey)"),
+            ("CARDINALITY", "l_returnflag", "count(distinct l_returnflag)"),
         )
     )
 )

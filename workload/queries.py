@@ -21,6 +21,7 @@ from tidewatch.session import shared_folder
 from tidewatch.sources.metrics import daily_metrics, mean, total
 from tidewatch.sources.tables import append_measurements, read_measurements
 from tidewatch.streaming.monitor import start_monitor, stream_table
+from tidewatch.streaming.table_monitor import TableMonitor
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -434,7 +435,12 @@ def monitor_stream(spark, sf):
     checked = stream.select(
         "user_id", "event_type", "value", F.col("ts").cast("date").alias("d"), "ts"
     )
-    suite = Suite(
+    monitor = start_monitor(checked, _event_checks()).wait()
+    return _measured(monitor.measure(t.MEASURED_AT))
+
+
+def _event_checks() -> Suite:
+    return Suite(
         t.DATABASE, "RAW", "EVENTS",
         (
             c.row_count.on(),
@@ -450,11 +456,59 @@ def monitor_stream(spark, sf):
             c.duplicate_count.on("user_id", "event_type", "d"),
         ),
     )
-    monitor = start_monitor(checked, suite).wait()
+
+
+def _measured(measurements: DataFrame) -> DataFrame:
     return t.tidy(
-        monitor.measure(t.MEASURED_AT).select(
-            "table_name", F.col("metric_name").alias("check_name"), "columns", "value"
+        measurements.select("table_name", F.col("metric_name").alias("check_name"), "columns", "value")
+    )
+
+
+@query
+def monitor_rebuilt(spark, sf):
+    """Events in files by type: all are measured, then one type is rebuilt and another appended to."""
+    base = f"{shared_folder(spark)}/rebuilt-{uuid.uuid4().hex}"
+    events = t.table(spark, sf, "events").select("event_type", "user_id", "ts", "value")
+
+    def write(rows, mode):
+        rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("event_type").parquet(
+            f"{base}/table"
         )
+
+    write(events, "append")
+    monitor = TableMonitor(
+        spark, f"{base}/table", events.schema, _event_checks(), f"{base}/state", {"d": F.col("ts").cast("date")}
+    )
+    monitor.refresh()
+    write(events.where("event_type = 'click'").withColumn("value", F.col("value") + 1), "overwrite")
+    write(events.where("event_type = 'purchase'"), "append")
+    monitor.refresh()  # reads the new files of two types alone
+    return _measured(monitor.measure(t.MEASURED_AT))
+
+
+@query
+def check_suite_two_dates(spark, sf):
+    """Series checks of two date columns in one pass, and four keyed checks in one shuffle."""
+    shipped = F.col("l_shipdate").cast("date")
+    lines = t.table(spark, sf, "lineitem").select(
+        shipped.alias("shipped"),
+        F.date_add(shipped, F.col("l_linenumber") * F.col("l_linenumber")).alias("due"),
+        F.col("l_quantity").alias("quantity"), "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
+    )
+    return measure(
+        lines,
+        c.row_count.on(),
+        c.date_gaps.on("shipped"),
+        c.date_gaps.on("due"),
+        c.volume_anomaly.on("due"),
+        c.mean_drift.on("shipped", "quantity"),
+        c.mean_drift.on("due", "quantity"),
+        c.maximum.on("quantity"),
+        c.duplicate_count.on("l_orderkey", "l_linenumber"),
+        c.duplicate_count.on("l_partkey", "shipped"),
+        c.cardinality.on("l_partkey"),
+        c.cardinality.on("l_returnflag"),
+        name="LINES",
     )
 
 
