@@ -59,6 +59,8 @@ def test_any_change_equals_a_batch_run(spark, tables, tmp_path, compact_after):
         written(staged.where("metric_name like '%active_users'").limit(1), path, "overwrite", 1)
 
     steps = [lambda: written(staged.where("metric_date < '2026-02-20'"), path), grow, rebuild]
+    if not compact_after:
+        steps = steps[:2]  # each refresh writes all state anew
     for version, step in enumerate(steps):
         step()
         assert monitor.refresh() == version

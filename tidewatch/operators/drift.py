@@ -75,6 +75,7 @@ def drift_alerts(
     chunk: str | None = None,
     chunk_rows: int | None = None,
     average: str = "rolling_14d_avg",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Alert rows with the value of the previous *alert* of the series and the change against it.
 
@@ -82,11 +83,11 @@ def drift_alerts(
     ``context_rows`` alerts (at most ``context_rows``) and the change divides by the previous value.
     ``context="running"``: it is the number of the alert in its series, not capped, and the change
     divides by the absolute previous value. ``chunk`` and ``chunk_rows`` cut long series as in
-    ``rolling_stats`` (trailing context only).
+    ``rolling_stats`` (trailing context only). ``keep`` names further columns to carry along.
     """
     alerts = drift.where("is_drift_alert").select(
         "metric_date", "metric_name", "segment", "metric_value", average, "z_score",
-        "drift_severity", "drift_direction", "pct_deviation", "is_weekend",
+        "drift_severity", "drift_direction", "pct_deviation", "is_weekend", *keep,
     )
     if context not in ("trailing", "running"):
         raise ValueError(f"unknown context {context!r}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -49,18 +50,23 @@ def rebuild_drift_tables(
     chunk: str | None = None,
     chunk_rows: int | None = None,
     copies: str = "separate",
+    watch: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
 ) -> DriftTables:
     """Rebuild the three stored tables under ``folder``; each is computed from the stored one before.
 
-    Returns frames that read the stored tables (staging and rolling statistics stay lazy).
+    Returns frames that read the stored tables (staging and rolling statistics stay lazy). ``watch``
+    (see ``tidewatch.operators.expectations.Watch``) counts violated expectations of all five tables
+    as they are written; staged rows are seen where rolling statistics have joined them.
     """
     spark = raw.sparkSession
     lazy = drift_tables(raw, complete, chunk, chunk_rows, copies)
-    overwrite_table(lazy.drift, f"{folder}/drift")
+    rolling = watch("rolling", watch("staged", lazy.rolling))
+    overwrite_table(watch("drift", classify_drift(rolling)), f"{folder}/drift")
     drift = read_table(spark, f"{folder}/drift")
-    overwrite_table(drift_alerts(drift, chunk=chunk, chunk_rows=chunk_rows), f"{folder}/alerts")
+    alerts = drift_alerts(drift, chunk=chunk, chunk_rows=chunk_rows)
+    overwrite_table(watch("alerts", alerts), f"{folder}/alerts")
     alerts = read_table(spark, f"{folder}/alerts")
-    overwrite_table(explain_alerts(alerts, complete), f"{folder}/insights")
+    overwrite_table(watch("insights", explain_alerts(alerts, complete)), f"{folder}/insights")
     insights = read_table(spark, f"{folder}/insights")
     return DriftTables(lazy.staged, lazy.rolling, drift, alerts, insights)
 

@@ -32,8 +32,7 @@ from tidewatch.operators.suite import Suite, key_totals, measure_partials
 from tidewatch.sources.tables import append_measurements, read_measurements
 
 FILE = "__file"
-LISTING = "path string, modified timestamp, length long, file long"
-MANIFEST = f"{LISTING}, version long"
+MANIFEST = "path string, modified timestamp, length long, file long, version long"
 BUCKETS = "bucket int, binding int, keys long, filled_keys long, copies long, version long"
 
 
@@ -130,20 +129,27 @@ class TableMonitor:
         """Take in what changed since the last version; the number of the version that holds it."""
         last = self.version()
         version = 0 if last is None else last + 1
-        before = self._manifest(last)
-        self._write(self.files(), "listing", version)  # one look at the table for all that follows
-        now = self.spark.read.schema(LISTING).parquet(f"{self.folder}/listing/version-{version}")
-        if not now.groupBy("file").count().where("count > 1").isEmpty():
-            raise RuntimeError("two files have names of equal hashes; rename one")
+        now, before = self.files(), self._manifest(last)
         same = ["path", "modified", "length", "file"]
-        fresh, lost = now.join(before, same, "left_anti"), before.join(now, same, "left_anti")
+        # one look at the table for all that follows: its files now, and those of the last version
+        found = now.withColumn("now", F.lit(True)).join(before, same, "full").select(
+            *same, "version", F.coalesce("now", F.lit(False)).alias("now")
+        )
+        self._write(found, "changes", version)
+        changes = self.spark.read.schema(found.schema).parquet(f"{self.folder}/changes/version-{version}")
+        fresh = changes.where("version is null").select(*same)
+        kept, lost = (changes.where(f"version is not null and {x}now").select(*same, "version") for x in ("", "not "))
+        # a line per version that is drawn on
+        counts = changes.groupBy("version", "now").agg(F.count(F.lit(1)), F.count_distinct("file")).collect()
+        if any(files != names for _, _, files, names in counts):
+            raise RuntimeError("two files have names of equal hashes; rename one")
+        gone = any(v is not None and not here for v, here, _, _ in counts)
+        drawn_on = {v for v, here, _, _ in counts if v is not None and here}
         # Spark's own file index lists paths on the driver as well
         added = [r["path"] for r in fresh.select("path").collect()]
-        if last is not None and not added and lost.isEmpty():
+        if last is not None and not added and not gone:
             return last
-        kept = before.join(now, same, "left_semi")
-        anew = kept.select("version").distinct().count() > self.compact_after
-        stays = not kept.isEmpty()
+        anew, stays = len(drawn_on) > self.compact_after, bool(drawn_on)
 
         rows = self._rows(added) if added else None
         own = {
@@ -160,7 +166,7 @@ class TableMonitor:
             if parts:
                 self._write(reduce(DataFrame.unionByName, parts), kind, version)
         if self.counted:
-            self._merge_keys(last, version, fresh if added else None, lost)
+            self._merge_keys(last, version, fresh if added else None, lost if gone else None)
         carried = kept.withColumn("version", F.lit(version).cast("long")) if anew else kept
         new = fresh.withColumn("version", F.lit(version).cast("long"))
         self._write(new.unionByName(carried), "manifest", version)
@@ -169,7 +175,7 @@ class TableMonitor:
         return version
 
     def _merge_keys(
-        self, last: int | None, version: int, fresh: DataFrame | None, lost: DataFrame
+        self, last: int | None, version: int, fresh: DataFrame | None, lost: DataFrame | None
     ) -> None:
         """Add the new files' counts to the buckets of keys and take the lost files' off."""
         changes = []
@@ -177,7 +183,7 @@ class TableMonitor:
             # a version that carries earlier files over holds their counts as well
             new = self.spark.read.parquet(f"{self.folder}/keys/version-{version}")
             changes.append(new.join(fresh.select(F.col("file").alias(FILE)), FILE, "left_semi"))
-        if not lost.isEmpty():
+        if lost is not None:
             gone = self._stored("keys", lost)
             changes.append(gone.withColumn("copies", -F.col("copies")))
         if not changes:
@@ -187,13 +193,16 @@ class TableMonitor:
         key = [c for c in delta.columns if c != "copies"]
         delta = delta.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int"))
         earlier = self._buckets(last)
-        touched = [r[0] for r in delta.select("bucket").distinct().collect()]  # at most ``buckets``
-        places = earlier.where(F.col("bucket").isin(touched)).select("version", "bucket").distinct().collect()
-        for v in sorted({r["version"] for r in places}):
+        touched = delta.select("bucket").distinct()
+        at = earlier.groupBy("bucket").agg(F.max("version").alias("version"))
+        places = touched.join(at, "bucket", "left").collect()  # at most ``buckets``
+        touched = [r["bucket"] for r in places]
+        for v in sorted({r["version"] for r in places} - {None}):
             held = self.spark.read.schema(delta.schema).parquet(f"{self.folder}/merged/version-{v}")
             own = [r["bucket"] for r in places if r["version"] == v]  # partitions: the others aren't read
             delta = delta.unionByName(held.where(F.col("bucket").isin(own)))
-        merged = delta.groupBy("bucket", *key).agg(F.sum("copies").alias("copies")).where("copies <> 0")
+        # by bucket: a task writes whole buckets, one file each; counts were merged per file before
+        merged = delta.repartition("bucket").groupBy("bucket", *key).agg(F.sum("copies").alias("copies")).where("copies <> 0")
         self._write(merged, "merged", version, by="bucket")
         counts = self.spark.read.schema(merged.schema).parquet(f"{self.folder}/merged/version-{version}")
         totals = key_totals(counts, by=["bucket"]).withColumn("version", F.lit(version).cast("long"))

@@ -652,6 +652,7 @@ def event_suite(source: str) -> str:
     )
 
 
+FINAL["drift_alerts_appended"] = FINAL["drift_alerts"]
 FINAL["monitor_stream"] = event_suite("arrived")
 CTES["rebuilt"] = """
 select event_type, user_id, ts, case when event_type = 'click' then value + 1 else value end as value, cast(ts as date) as d

@@ -17,9 +17,10 @@ from tidewatch.operators import quality as q
 from tidewatch.operators import reports as r
 from tidewatch.operators.insights import alert_prompts, explain_alerts
 from tidewatch.operators.suite import Suite, run_checks
+from tidewatch.plans.incremental import append_drift_tables, read_appended
 from tidewatch.session import shared_folder
 from tidewatch.sources.metrics import daily_metrics, mean, total
-from tidewatch.sources.tables import append_measurements, read_measurements
+from tidewatch.sources.tables import append_measurements, overwrite_table, read_measurements
 from tidewatch.streaming.monitor import start_monitor, stream_table
 from tidewatch.streaming.table_monitor import TableMonitor
 from workload import tables as t
@@ -255,15 +256,20 @@ def check_suite(spark, sf):
 
 @query
 def expect_not_null(spark, sf):
-    return e.failures(
-        e.expect_not_null(t.staged(spark, sf), "metric_date", "metric_name", "metric_value"),
-        e.expect_not_null(t.rolling(spark, sf), "z_score"),
-        e.expect_not_null(t.drift(spark, sf), "is_drift_alert"),
-        e.expect_not_null(
-            t.log(spark, sf),
-            "measured_at", "table_name", "dmf_name", "dmf_value", "quality_status", "quality_note",
+    """Counted while the drift table and the quality log are written."""
+    watch = e.Watch({
+        "staged": (("metric_date", "metric_name", "metric_value"), {}),
+        "rolling": (("z_score",), {}),
+        "drift": (("is_drift_alert",), {}),
+        "quality_log": (
+            ("measured_at", "table_name", "dmf_name", "dmf_value", "quality_status", "quality_note"), {},
         ),
-    )
+    })
+    base = f"{shared_folder(spark)}/expected-{uuid.uuid4().hex}"
+    rolling = watch("rolling", watch("staged", t.rolling(spark, sf)))
+    overwrite_table(watch("drift", d.classify_drift(rolling)), f"{base}/drift")
+    overwrite_table(watch("quality_log", t.log(spark, sf)), f"{base}/quality_log")
+    return watch.results(spark).select("column_name", "failing_rows")
 
 
 @query
@@ -477,7 +483,8 @@ def monitor_rebuilt(spark, sf):
 
     write(events, "append")
     monitor = TableMonitor(
-        spark, f"{base}/table", events.schema, _event_checks(), f"{base}/state", {"d": F.col("ts").cast("date")}
+        spark, f"{base}/table", events.schema, _event_checks(), f"{base}/state",
+        {"d": F.col("ts").cast("date")}, buckets=16,
     )
     monitor.refresh()
     write(events.where("event_type = 'click'").withColumn("value", F.col("value") + 1), "overwrite")
@@ -512,6 +519,18 @@ def check_suite_two_dates(spark, sf):
     )
 
 
+@query
+def drift_alerts_appended(spark, sf):
+    """The alerts of three batches of order dates, each from its own rows and the tails before it."""
+    folder = f"{shared_folder(spark)}/appended-{uuid.uuid4().hex}"
+    orders = t.order_metrics(spark, sf)
+    years = (dt.date(1, 1, 1), dt.date(1995, 1, 1), dt.date(1997, 6, 1), dt.date(9999, 1, 1))
+    for batch, (first, end) in enumerate(zip(years, years[1:])):
+        rows = orders.where((F.col("metric_date") >= first) & (F.col("metric_date") < end))
+        append_drift_tables(rows, folder, batch)
+    return t.tidy(read_appended(spark, folder, "alerts"))
+
+
 @query
 def exact_daily_means(spark, sf):
     """Rates, which have more decimals than amounts: nothing is rounded before it is summed."""
