@@ -524,10 +524,9 @@ def drift_alerts_appended(spark, sf):
     """The alerts of three batches of order dates, each from its own rows and the tails before it."""
     folder = f"{shared_folder(spark)}/appended-{uuid.uuid4().hex}"
     orders = t.order_metrics(spark, sf)
-    years = (dt.date(1, 1, 1), dt.date(1995, 1, 1), dt.date(1997, 6, 1), dt.date(9999, 1, 1))
-    for batch, (first, end) in enumerate(zip(years, years[1:])):
-        rows = orders.where((F.col("metric_date") >= first) & (F.col("metric_date") < end))
-        append_drift_tables(rows, folder, batch)
+    day, second, third = F.col("metric_date"), dt.date(1995, 1, 1), dt.date(1997, 6, 1)
+    for batch, rows in enumerate((day < second, (day >= second) & (day < third), day >= third)):
+        append_drift_tables(orders.where(rows), folder, batch)
     return t.tidy(read_appended(spark, folder, "alerts"))
 
 
