@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -46,7 +45,9 @@ def stream_table(
     return reader.parquet(path)
 
 
-KEYS = StructType([StructField("keys", LongType())])
+def key_numbers(keyed: list[int]) -> StructType:
+    """State of the keys: how many different ones each binding has seen."""
+    return StructType([StructField(f"keys_{i}", LongType()) for i in keyed])
 
 
 @dataclass
@@ -58,11 +59,12 @@ class Monitor:
     folder: str
     partials: StreamingQuery
     schema: StructType
-    keyed: dict[int, StreamingQuery]
+    keys: StreamingQuery | None
+    keyed: list[int]
 
     @property
     def queries(self) -> list[StreamingQuery]:
-        return [self.partials, *self.keyed.values()]
+        return [self.partials] if self.keys is None else [self.partials, self.keys]
 
     @property
     def identity(self) -> str:
@@ -79,6 +81,9 @@ class Monitor:
         for query in self.queries:
             query.stop()
 
+    def _distinct(self, i: int) -> bool:
+        return self.suite.bindings[i].check is cardinality
+
     def last_batch(self) -> int | None:
         """Number of the last finished batch with rows, of this run or an earlier one."""
         return newest_batch(f"{self.folder}/state")
@@ -98,17 +103,15 @@ class Monitor:
         parts = []
         if any(not isinstance(b.check, KeyedCheck) for b in self.suite.bindings):
             parts.append(measure_partials(state, self.suite, measured_at))
-        for i in self.keyed:
-            keys = kept_state(self.spark, f"{self.folder}/keys-{i}", KEYS)
-            distinct = keys.agg(F.coalesce(F.sum("keys"), F.lit(0)).alias("n"))
-            if self.suite.bindings[i].check is cardinality:
-                value = distinct.withColumnRenamed("n", f"m{i}")
-            else:
-                rows = self.suite.whole_rows(state).agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"))
-                value = rows.crossJoin(F.broadcast(distinct)).select(
-                    (F.col("rows") - F.col("n")).alias(f"m{i}")
-                )
-            parts.append(self.suite.rows_of(value, [i], at))
+        if self.keyed:
+            keys = kept_state(self.spark, f"{self.folder}/keys", key_numbers(self.keyed))
+            numbers = keys.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in keys.columns))
+            rows = self.suite.whole_rows(state).agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"))
+            wide = rows.crossJoin(F.broadcast(numbers)).select(*(
+                (F.col(f"keys_{i}") if self._distinct(i) else F.col("rows") - F.col(f"keys_{i}")).alias(f"m{i}")
+                for i in self.keyed
+            ))
+            parts.append(self.suite.rows_of(wide, self.keyed, at))
         return reduce(DataFrame.unionByName, parts)
 
 
@@ -143,25 +146,30 @@ def start_monitor(
             table = pa.Table.from_batches([batch])
             yield from table.group_by(table.column_names).aggregate([]).to_batches()
 
+    keyed = [i for i, _ in suite.of_family(KeyedCheck)]
+    for i in keyed:
+        if suite.bindings[i].check not in (cardinality, duplicate_count):
+            raise ValueError(f"{suite.bindings[i].check.name} has no streaming form")
+    keys = None
+    if keyed:
+        filled_only = {i for i in keyed if suite.bindings[i].check is cardinality}
+
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n = dict.fromkeys(keyed, 0)
+            for batch in batches:
+                table = pa.table({"binding": batch["binding"], "filled": batch["filled"].cast(pa.int64())})
+                sums = table.group_by("binding").aggregate([("filled", "count"), ("filled", "sum")])
+                for row in sums.to_pylist():
+                    i = row["binding"]
+                    n[i] += row["filled_sum" if i in filled_only else "filled_count"]
+            yield pa.RecordBatch.from_pydict({f"keys_{i}": pa.array([k], pa.int64()) for i, k in n.items()})
+
+        rows = suite.key_rows(stream, keyed)
+        new = rows.mapInArrow(once_per_batch, rows.schema).dropDuplicates()
+        keys = kept(new.mapInArrow(counted, key_numbers(keyed)), "append", "keys", "keys-progress")
     partials = suite.partials(stream, count_rows=True)
-    keyed = {}
-    for i, b in suite.of_family(KeyedCheck):
-        if b.check not in (cardinality, duplicate_count):
-            raise ValueError(f"{b.check.name} has no streaming form")
-
-        def counted(batches: Iterator[pa.RecordBatch], nulls: bool) -> Iterator[pa.RecordBatch]:
-            n = sum(pc.count(x.column(0), "all" if nulls else "only_valid").as_py() for x in batches)
-            yield pa.RecordBatch.from_pydict({"keys": pa.array([n], pa.int64())})
-
-        names = ["column"] if b.check is cardinality else b.columns
-        keys = stream.select(*(F.col(c).alias(n) for c, n in zip(b.columns, names, strict=True)))
-        new = keys.mapInArrow(once_per_batch, keys.schema).dropDuplicates()
-        nulls = b.check is duplicate_count
-        numbers = new.mapInArrow(lambda x, nulls=nulls, counted=counted: counted(x, nulls), KEYS)
-        keyed[i] = (numbers, f"keys-{i}", f"keys-{i}-progress")
-    started = {i: kept(frame, "append", state, progress) for i, (frame, state, progress) in keyed.items()}
     query = kept(partials, "complete", "state", "partials")
-    return Monitor(spark, suite, folder, query, partials.schema, started)
+    return Monitor(spark, suite, folder, query, partials.schema, keys, keyed)
 
 
 def keep_measuring(
