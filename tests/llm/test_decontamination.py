@@ -140,3 +140,12 @@ def test_passages_shorter_and_longer_than_the_item():
     for (k, i), (_, _, edits, n_words, begin, end) in got.items():
         assert edits == distance(words(texts[k][begin:end]), words(items[i][1])) and edits >= wanted[k, i]
         assert n_words == len(words(items[i][1]))
+
+
+def test_large_shares():
+    rows, items = planted()
+    texts = pa.array([text for _, text in rows])
+    for share in (0.3, 0.34, 0.4):
+        got = {(r[0], r[1]) for r in _hits(texts, Index(items, share))}
+        wanted = brute(enumerate(t for _, t in rows), items, share)
+        assert got <= set(wanted) and len(got) >= 0.9 * sum(e <= 0.2 * len(words(dict(items)[i])) for (_, i), e in wanted.items())

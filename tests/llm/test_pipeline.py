@@ -62,3 +62,10 @@ def test_empty_table(spark, vocabulary):
     docs = cases.empty(spark).drop("start", "length")
     assert language_filter(docs).count() == 0
     assert corpus_pipeline.near_duplicates(spark, docs, "").count() == 0
+
+
+def test_clashing_columns(spark):
+    docs = cases.documents(spark).drop("start", "length")
+    more = docs.selectExpr("*", "1 as k_id", "'x' as k_key", "2 as root", "3 as cls", "4 as equal")
+    assert corpus_pipeline.near_duplicates(spark, more, "").columns == more.columns
+    assert corpus_pipeline.near_duplicates(spark, more, "").count() == corpus_pipeline.near_duplicates(spark, docs, "").count()

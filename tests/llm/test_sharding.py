@@ -3,7 +3,7 @@ from collections import Counter
 import cases
 import numpy as np
 from tidewatch.llm import sharding
-from tidewatch.llm.sharding import communication_matrix, shard_rows
+from tidewatch.llm.sharding import _inverted, communication_matrix, shard_rows
 
 
 def test_matrix_has_exact_sums():
@@ -38,3 +38,21 @@ def test_order_is_mixed(spark):
 
 def test_empty_table(spark):
     assert shard_rows(cases.empty(spark), 16).count() == 0
+
+
+def test_large_draws_follow_the_same_law():
+    random = np.random.default_rng(5)
+    for good, bad, draws in ((30, 50, 20), (5, 400, 300), (400, 7, 200), (1000, 1000, 2000), (90, 90, 1)):
+        found = np.array([_inverted(random, good, bad, draws) for _ in range(20000)])
+        wanted = random.hypergeometric(good, bad, draws, 200000)
+        values = np.arange(draws + 2)
+        upto = [np.searchsorted(np.sort(x), values, side="right") / len(x) for x in (found, wanted)]
+        assert np.abs(upto[0] - upto[1]).max() < 0.02
+    good, bad, draws = 10**12, 15 * 10**12, 10**7
+    found = np.array([_inverted(random, good, bad, draws) for _ in range(300)])
+    spread = np.sqrt(draws / 16 * 15 / 16)
+    assert abs(found.mean() - draws / 16) < 0.3 * spread and 0.85 < found.std() / spread < 1.15
+    assert _inverted(random, 10**10, 0, 10**9) == 10**9 and _inverted(random, 3, 10**10, 10**10 + 3) == 3
+    counts = communication_matrix([2 * 10**9, 10**9, 5], [10**9 + 2, 2 * 10**9 + 3], 3)
+    assert counts.sum(axis=1).tolist() == [2 * 10**9, 10**9, 5]
+    assert counts.sum(axis=0).tolist() == [10**9 + 2, 2 * 10**9 + 3]

@@ -99,3 +99,10 @@ def test_the_tree_decides_within_articles(spark):
 
 def test_empty_table(spark):
     assert extract_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_attributes_of_any_length(quote):
+    value = "a>b " * 20000
+    assert main_text(f"<p data-x={quote}{value}{quote}>Real</p>") == "Real"
+    assert main_text(f"<p data-x={quote}never closed>Real</p>") == "Real"

@@ -140,9 +140,10 @@ class Index:
         pairs = np.unique(place * (LONGEST_ITEM + 1) + length)
         self.run_lengths = pairs % (LONGEST_ITEM + 1)
         self.run_from = np.searchsorted(pairs, np.arange(len(self.runs) + 1) * (LONGEST_ITEM + 1))
-        #: Runs of the item that a passage must at least have, by the item's length.
+        #: Runs of the item that a passage must at least have, by the item's length. Where the bound on
+        #: edits leaves none for certain (shares of 0.3 and more), one is asked for all the same.
         self.least = {
-            m: m - RUN + 1 - RUN * most_edits(m, share) for m in np.unique(self.lengths).tolist()
+            m: max(1, m - RUN + 1 - RUN * most_edits(m, share)) for m in np.unique(self.lengths).tolist()
         }
 
     def __getstate__(self):  # the tables are made where they are used

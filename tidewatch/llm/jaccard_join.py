@@ -549,11 +549,11 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         F.col("f.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("f.text_key") == F.col("text_key"))
     ).groupBy("root").agg(F.count("*").alias("equal"))
     kept = chosen.join(repeated, "root").select(
-        F.col("first.doc_id").alias("k_id"), F.col("first.text_key").alias("k_key"), "equal"
+        F.col("first.doc_id").alias("__kept_id"), F.col("first.text_key").alias("__kept_key"), "equal"
     )
     kept = written(kept, "jaccard-kept")
     keyed = docs.withColumn("__key", text_key())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")) & (F.col("__key") == F.col("k_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key"))
     wordless = ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     single = keyed.join(kept.where("equal = 1"), same, "left_semi")
     several = keyed.join(kept.where("equal > 1"), same, "left_semi").dropDuplicates(["doc_id", "__key"])

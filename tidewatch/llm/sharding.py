@@ -44,11 +44,21 @@ def _hypergeometric(random: np.random.Generator, good: int, bad: int, draws: int
         return 0
     if max(good, bad) < 10**9:
         return int(random.hypergeometric(good, bad, draws))
-    # beyond the generator's range: the normal law is exact to far less than a row's share
-    total = good + bad
-    mean = draws * good / total
-    spread = np.sqrt(mean * (bad / total) * (total - draws) / max(1, total - 1))
-    return int(np.clip(round(random.normal(mean, spread)), max(0, draws - bad), min(good, draws)))
+    return _inverted(random, good, bad, draws)
+
+
+def _inverted(random: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """A hypergeometric draw of any size: inversion over forty deviations around the mode, with
+    probabilities from the ratios of neighbours, so that no large factorials cancel."""
+    mode = (draws + 1) * (good + 1) // (good + bad + 2)
+    spread = np.sqrt(draws * (good / (good + bad)) * (bad / (good + bad)) * (1 - draws / (good + bad + 1)))
+    reach = 40 + int(40 * spread)
+    k = np.arange(max(0, draws - bad, mode - reach), min(good, draws, mode + reach) + 1)
+    here = k[:-1]
+    ratios = np.log(good - here) + np.log(draws - here) - np.log(here + 1) - np.log(bad - draws + here + 1)
+    weights = np.concatenate([[0.0], np.cumsum(ratios)])
+    upto = np.cumsum(np.exp(weights - weights.max()))
+    return int(k[np.searchsorted(upto, random.random() * upto[-1], side="right")])
 
 
 def _random(seed: int, *columns: str) -> Column:

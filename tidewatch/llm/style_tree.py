@@ -89,7 +89,7 @@ SALTS = 64
 TAG = re.compile(
     r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|[!?][^>]*+>"
     r"|(?P<close>/?)(?P<name>[a-zA-Z][^\s/<>]*+)"
-    r"(?P<attrs>(?:[^<>\"']++|\"[^\"]{0,20000}+\"|'[^']{0,20000}+')*+|[^<>]*+)>)",
+    r"(?P<attrs>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^<>]*+)>)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
