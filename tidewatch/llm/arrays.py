@@ -11,6 +11,8 @@ BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 _BASE = 0x9E3779B97F4A7C15 | 1
+#: Values that are hashed as one power sum.
+_CUT = 256
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
@@ -64,8 +66,7 @@ def _reach(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
-def hash_runs(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run ``values[begin:end]``, from one pass over ``values``."""
+def _hash_short(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     powers, inverses = _reach(len(values) + 1)
     terms = np.empty(len(values) + 1, np.uint64)
     terms[0] = 0
@@ -76,6 +77,26 @@ def hash_runs(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(value ^ ((ends - begins).astype(np.uint64) << np.uint64(48)))
 
 
+def hash_runs(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run ``values[begin:end]``, from one pass over ``values``.
+
+    A power sum modulo 2^64 repeats for some regular sequences of a thousand values or more (a
+    Thue-Morse word and its complement), so runs of more than ``_CUT`` values are hashed as the
+    sequence of the mixed hashes of their pieces, as often as that takes.
+    """
+    lengths = ends - begins
+    long = np.flatnonzero(lengths > _CUT)
+    if not len(long):
+        return _hash_short(values, begins, ends)
+    out = _hash_short(values, begins, np.minimum(ends, begins + _CUT))
+    pieces = -(-lengths[long] // _CUT)
+    stops = np.cumsum(pieces)
+    at = spans(np.zeros(len(long), np.int64), pieces) * _CUT + np.repeat(begins[long], pieces)
+    piece = _hash_short(values, at, np.minimum(at + _CUT, np.repeat(ends[long], pieces)))
+    out[long] = mix(hash_runs(piece, stops - pieces, stops) + lengths[long].astype(np.uint64))
+    return out
+
+
 def chain(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` neighbours in a sequence of hashes."""
     m = max(0, len(hashes) - n + 1)
