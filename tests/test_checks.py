@@ -228,6 +228,46 @@ def test_own_checks(spark):
         del c.REGISTRY["TEST_OVER"], c.REGISTRY["TEST_BUSIEST_DAY"]
 
 
+def test_checks_with_types_and_sql(spark):
+    frame = dated(spark, [(day(0), 1.0), (day(0), 5.0), (day(1), 9.0), (None, None)])
+    frame = frame.selectExpr("*", "cast(v as int) as n", "string(v) as s", "cast(v as decimal(9,2)) as e")
+
+    @c.row_check("TEST_OVER", {"value": "double"})
+    def over(value, limit):
+        return F.count_if(value > limit)
+
+    @c.series_check("TEST_HIGHEST_MEAN", {"date": "date", "value": "double"},
+                    finish=lambda p: F.max(p("mean")), merge=lambda p: {"mean": F.max(p("mean"))})
+    def highest_mean(value):
+        return {"mean": F.avg(value)}
+
+    over_sql = c.sql_check("TEST_SQL", {"value": "double"}, "select count(*) from {arg_t} where value > :limit")
+    none = c.sql_check("TEST_NONE", {"value": "decimal(14,3)"}, "select value from {arg_t} where value > 100")
+    many = c.sql_check("TEST_MANY", {"value": "bigint"}, "select value from {arg_t}")
+    words = c.sql_check("TEST_WORDS", {"value": "string"}, "select max(value) from {arg_t}")
+    wide = c.sql_check("TEST_WIDE", {"value": "double"}, "select max(value), min(value) from {arg_t}")
+    quoted = c.sql_check("TEST_QUOTED", {"value": "string"}, "select count_if(value = '9.0') from {arg_t}")
+    try:
+        for column in ("v", "n", "e"):
+            assert values(frame, over.on(column, limit=2), over_sql.on(column, limit=2)) == [2, 2]
+        together = (highest_mean.on("d", "v"), c.row_count.on(), none.on("n"), over_sql.on("v", limit=6))
+        assert values(frame, *together) == [9, 4, None, 1]
+        assert one(frame, highest_mean.on("d", "n")) == 9 and one(frame, none.on("e")) is None
+        assert one(frame, quoted.on("s")) == 1 and one(frame, over_sql.on("v", limit=6)) == 1
+        assert one(frame.limit(0), over_sql.on("v", limit=6)) == 0
+        for wrong in (over.on("s", limit=2), over_sql.on("d", limit=2), highest_mean.on("d", "s"),
+                      highest_mean.on("v", "v"), many.on("e"), none.on("v"), words.on("s"), words.on("v")):
+            with pytest.raises(TypeError):
+                values(frame, wrong)
+        with pytest.raises(Exception, match="SUBQUERY"):
+            values(frame, many.on("n"))
+        with pytest.raises(Exception, match="(?i)column"):
+            values(frame, wide.on("v"))
+    finally:
+        for name in [n for n in c.REGISTRY if n.startswith("TEST_")]:
+            del c.REGISTRY[name]
+
+
 def test_by_date(spark):
     frame = dated(spark, [(day(0), 1.0), (day(0), None), (day(1), 9.0)])
     suite = Suite("DB", "S", "T", (c.row_count.on(), c.null_count.on("v")))

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.numeric import round_half_up, seconds_between, wall_clock
 
@@ -24,6 +25,26 @@ SYSTEM_SCHEMA = "CORE"
 CUSTOM_SCHEMA = "RULES"
 
 
+_WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def widens(given: T.DataType, declared: T.DataType) -> bool:
+    """Whether a column of one type can be handed over as another."""
+    if given == declared or isinstance(given, T.NullType):
+        return True
+    if isinstance(given, T.NumericType) and isinstance(declared, T.DoubleType):
+        return True
+    if isinstance(given, T.StringType) and isinstance(declared, T.StringType):
+        return True
+    scale = given.scale if isinstance(given, T.DecimalType) else 0
+    digits = given.precision - scale if isinstance(given, T.DecimalType) else _WHOLE_DIGITS.get(type(given))
+    if digits is None:
+        return isinstance(given, T.DateType) and isinstance(declared, T.TimestampNTZType)
+    if isinstance(declared, T.DecimalType):
+        return scale <= declared.scale and digits <= declared.precision - declared.scale
+    return not isinstance(given, T.DecimalType) and digits <= _WHOLE_DIGITS.get(type(declared), 0)
+
+
 @dataclass(frozen=True)
 class Lookup:
     """Name of a partial aggregate or context value -> its column; ``dates`` is the window of all dates."""
@@ -38,11 +59,16 @@ class Lookup:
 
 @dataclass(frozen=True)
 class Check:
-    """What all checks have: a name, the schema it is filed under, and its column arguments."""
+    """What all checks have: a name, the schema it is filed under, and its column arguments.
+
+    With ``types`` (names of Spark types, one per argument) a column is taken only if its type is
+    the declared one or widens to it without loss of whole digits, and arrives as the declared type.
+    """
 
     name: str
     arguments: tuple[str, ...]
     schema: str = CUSTOM_SCHEMA
+    types: tuple[str, ...] = ()
 
     def on(self, *columns: str, name: str | None = None, **parameters) -> Binding:
         """Bind the check to columns of a table. A check can be bound many times."""
@@ -62,8 +88,20 @@ class Binding:
     def column_text(self) -> str:
         return ",".join(self.columns)
 
-    def call(self, function: Callable, *first):
-        return function(*first, *(F.col(c) for c in self.columns), **self.parameters)
+    @property
+    def typed_columns(self) -> list[Column]:
+        """The bound columns as the check's declared types."""
+        if not self.check.types:
+            return [F.col(c) for c in self.columns]
+        return [F.col(c).cast(t) for c, t in zip(self.columns, self.check.types, strict=True)]
+
+    def refuse_other_types(self, df: DataFrame) -> None:
+        for column, declared in zip(self.columns, self.check.types, strict=False):
+            given = df.select(column).schema[0].dataType
+            if not widens(given, T.DataType.fromDDL(declared)):
+                raise TypeError(
+                    f"{self.name} takes {declared} for {column}, which is {given.simpleString()}"
+                )
 
 
 @dataclass(frozen=True)
@@ -79,7 +117,7 @@ class RowCheck(Check):
         parameters = {
             k: v for k, v in binding.parameters.items() if k not in self.finish_parameters
         }
-        return self.partial(*(F.col(c) for c in binding.columns), **parameters)
+        return self.partial(*binding.typed_columns, **parameters)
 
     def merged(self, part: Column) -> Column:
         if self.merge == "sum":
@@ -125,18 +163,45 @@ def register(check: Check) -> Check:
     return check
 
 
-def row_check(name: str, arguments: Sequence[str], merge: str = "sum", **options):
-    """Decorator: register a function ``(columns...) -> aggregate Column`` as a check."""
+Arguments = Sequence[str] | Mapping[str, str]
+
+
+def _declared(arguments: Arguments) -> dict[str, tuple[str, ...]]:
+    """Names of arguments, and their types if they are given as a mapping."""
+    types = tuple(arguments.values()) if isinstance(arguments, Mapping) else ()
+    return {"arguments": tuple(arguments), "types": types}
+
+
+def row_check(name: str, arguments: Arguments, merge: str = "sum", **options):
+    """Decorator: register a function ``(columns...) -> aggregate Column`` as a check.
+
+    Arguments of all three decorators are names, or a mapping of names to types.
+    """
 
     def wrap(function: Callable[..., Column]) -> RowCheck:
         return register(
-            RowCheck(name, tuple(arguments), partial=function, merge=merge, **options)
+            RowCheck(name, partial=function, merge=merge, **_declared(arguments), **options)
         )
 
     return wrap
 
 
-def keyed_check(name: str, arguments: Sequence[str], **options):
+def series_check(name: str, arguments: Arguments, finish: Callable[..., Column], **options):
+    """Decorator: register ``(columns after the date...) -> aggregates per date`` as a check.
+
+    The first argument is the date. ``finish`` makes the value from a ``Lookup`` of the aggregates;
+    ``context``, ``merge`` and ``merge_context`` are those of ``SeriesCheck``.
+    """
+
+    def wrap(function: Callable[..., dict[str, Column]]) -> SeriesCheck:
+        return register(
+            SeriesCheck(name, partials=function, finish=finish, **_declared(arguments), **options)
+        )
+
+    return wrap
+
+
+def keyed_check(name: str, arguments: Arguments, **options):
     """Decorator: register ``(DataFrame, columns...) -> one-row DataFrame(value)`` as a check.
 
     The function gets the frame with just the bound columns, renamed to the declared arguments
@@ -144,11 +209,27 @@ def keyed_check(name: str, arguments: Sequence[str], **options):
     """
 
     def wrap(function: Callable[..., DataFrame]) -> KeyedCheck:
-        return register(KeyedCheck(name, tuple(arguments), measure=function, **options))
+        return register(KeyedCheck(name, measure=function, **_declared(arguments), **options))
 
     return wrap
 
 
+def sql_check(name: str, arguments: Mapping[str, str], body: str, returns: str = "double", **options) -> KeyedCheck:
+    """Register a query as a check: any SQL over ``{arg_t}``, the bound columns under the arguments' names.
+
+    Parameters of a binding are the query's named markers (``:limit``). The query gives one number
+    in one column; none is NULL, and a second row fails the measurement.
+    """
+
+    def measure(df: DataFrame, **parameters) -> DataFrame:
+        found = df.sparkSession.sql(f"select ({body}) as value", args=parameters, arg_t=df)
+        if not isinstance(found.schema[0].dataType, T.NumericType):
+            raise TypeError(f"{name} gives {found.schema[0].dataType.simpleString()}, not a number")
+        return found.select(F.col("value").cast(returns).alias("value"))
+
+    return keyed_check(name, arguments, **options)(measure)
+
+
 # ------------------------------------------------------------------------------ row checks
 
 

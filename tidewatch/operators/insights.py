@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions.numeric import round_half_up
 from tidewatch.functions.text import fill_template, num_text
+from tidewatch.operators.answers import AnswerStore, Complete
 
 # fixed value: the text of a prompt
 PROMPT = (
@@ -38,8 +39,6 @@ INSIGHT_COLUMNS = (
     "drift_severity", "drift_direction", "pct_deviation", "ai_insight",
 )
 
-Complete = Callable[[Sequence[str]], Sequence[str]]
-
 
 def _slots(average: str = "rolling_14d_avg") -> dict[str, Column]:
     change = F.concat(num_text(F.col("day_over_day_pct_change")), F.lit("%"))
@@ -70,12 +69,16 @@ def alert_prompts(alerts: DataFrame, template: str = PROMPT) -> DataFrame:
     return alerts.withColumn("prompt", fill_template(template, _slots()))
 
 
-def explain_alerts(alerts: DataFrame, complete: Complete | None = None) -> DataFrame:
+def explain_alerts(
+    alerts: DataFrame, complete: Complete | None = None, store: AnswerStore | None = None
+) -> DataFrame:
     """Add an explanation to every alert and keep the ten insight columns.
 
     Without ``complete`` the text is made from a template inside Spark. With it, each task hands
     batches of prompts to the function and takes one text per prompt back (Arrow batches; prompts
     that are NULL get NULL). The function must be safe to repeat, as Spark may run a task again.
+    With a ``store``, prompts that it has no answer to are asked at once, equal ones together, and the
+    answers are read from it: later runs and repeated tasks ask nothing that has been answered.
     """
     if complete is None:
         severity, direction = F.col("drift_severity"), F.col("drift_direction")
@@ -88,6 +91,8 @@ def explain_alerts(alerts: DataFrame, complete: Complete | None = None) -> DataF
         )
 
     prompted = alert_prompts(alerts).select(*INSIGHT_COLUMNS[:-1], "prompt")
+    if store is not None:
+        return store.answered(prompted, complete, "ai_insight").select(*INSIGHT_COLUMNS)
     schema = T.StructType(
         [prompted.schema[c] for c in INSIGHT_COLUMNS[:-1]]
         + [T.StructField("ai_insight", T.StringType())]

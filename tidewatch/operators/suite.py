@@ -51,7 +51,7 @@ class Suite:
         """Aggregates to keep per date for all row and series checks."""
         kept = [b.check.partial_of(b).alias(f"r{i}") for i, b in self.of_family(RowCheck)]
         for i, b in self.of_family(SeriesCheck):
-            parts = b.check.partials(*(F.col(c) for c in b.columns[1:]))
+            parts = b.check.partials(*b.typed_columns[1:])
             kept += [column.alias(f"s{i}_{name}") for name, column in parts.items()]
         return kept
 
@@ -63,6 +63,8 @@ class Suite:
         With several date columns, one row per date of each of them. None if there is nothing to keep.
         ``count_rows`` keeps the number of rows as well; ``by`` keeps parts of the table apart.
         """
+        for b in self.bindings:
+            b.refuse_other_types(df)
         kept = self.partial_columns()
         dates = self.date_columns
         if count_rows or (dates and not kept):
@@ -201,8 +203,9 @@ class Suite:
         """One-row frame with the column ``m<i>``."""
         b = self.bindings[i]
         check = b.check
+        b.refuse_other_types(df)
         names = b.columns if check.arguments == ("*",) else check.arguments
-        argument = df.select(*(F.col(c).alias(n) for c, n in zip(b.columns, names, strict=True)))
+        argument = df.select(*(c.alias(n) for c, n in zip(b.typed_columns, names, strict=True)))
         return check.measure(argument, **b.parameters).toDF(f"m{i}")
 
     # ------------------------------------------------------------------ measurement rows

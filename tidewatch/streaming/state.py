@@ -20,20 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-FORMAT = "tidewatch_state"
-
+from tidewatch.sources.files import place
 
-def _place(uri: str) -> tuple[fs.FileSystem, str]:
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri)
+FORMAT = "tidewatch_state"
 
 
 def _kept(folder: str) -> list[tuple[int, str]]:
     """(batch, file name) of the states in a folder, oldest first."""
-    system, path = _place(folder)
+    system, path = place(folder)
     found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
     names = [f.base_name for f in found if f.base_name.startswith("batch-")]
     return sorted((int(n.removeprefix("batch-").removesuffix(".parquet")), n) for n in names)
@@ -54,7 +48,7 @@ class _Writer(DataSourceStreamArrowWriter):
     def commit(self, messages: list[_Rows | None], batchId: int) -> None:
         batches = [b for m in messages if m is not None for b in m.batches]
         kept = _kept(self.folder)
-        system, path = _place(self.folder)
+        system, path = place(self.folder)
         earlier = [name for batch, name in kept if batch < batchId]
         if not self.replaces and earlier:  # numbers add up over the batches
             with system.open_input_file(posixpath.join(path, earlier[-1])) as file:

@@ -193,6 +193,10 @@ FINAL["drift_insights"] = f"""select metric_date, metric_name, segment,
     {rnd('metric_value')} as metric_value, {rnd('rolling_14d_avg')} as rolling_14d_avg,
     {rnd('z_score')} as z_score, drift_severity, drift_direction, pct_deviation, ai_insight
     from insights"""
+FINAL["drift_insights_stored"] = f"""select metric_date, metric_name, segment,
+    {rnd('metric_value')} as metric_value, {rnd('rolling_14d_avg')} as rolling_14d_avg,
+    {rnd('z_score')} as z_score, drift_severity, drift_direction, pct_deviation,
+    upper({template(PROMPT, SLOTS)}) as ai_insight from alerts"""
 
 
 # ------------------------------------------------------------------ checks
@@ -357,6 +361,25 @@ FINAL["check_suite"] = union(
     measured("Z_SCORE_READINESS", "z_score", "count(*) filter (z_score is null)", "rolling",
              "ROLLING"),
 )
+FINAL["check_sql_bodies"] = union(
+    measured("SQL_CARDINALITY", "metric_name", "count(distinct metric_name)", "staged", "RAW"),
+    measured("SQL_VALUE_RANGE", NAMED,
+             "count(*) filter (metric_name = 'avg_order_value' and "
+             "(metric_value < 50000 or metric_value > 400000))", "staged", "RAW"),
+    measured("SQL_AT_LEAST", NAMED,
+             "count(*) filter (metric_name = 'revenue' and metric_value < 0)", "staged", "RAW"),
+    measured("SQL_ABOVE", NAMED,
+             "count(*) filter (metric_name = 'order_count' and metric_value <= 0)", "staged", "RAW"),
+    measured("SQL_DATE_GAPS", "metric_date", gaps("metric_date", "staged"), "", "RAW"),
+    measured("SQL_VOLUME", "metric_date", volume("metric_date", "classified"), "", "DRIFT"),
+    measured("SQL_MEAN_SHIFT", "metric_date,metric_value",
+             shift("metric_date", "metric_value", "classified"), "", "DRIFT"),
+    measured("SQL_SEVERITY", "drift_severity",
+             outside("'critical', 'warning', 'watch', 'normal'", "drift_severity"), "classified",
+             "DRIFT"),
+    measured("SQL_ABS_BOUND", "z_score", "count(*) filter (abs(z_score) > 10)", "classified", "DRIFT"),
+    measured("SQL_READINESS", "z_score", "count(*) filter (z_score is null)", "classified", "DRIFT"),
+)
 
 
 # ------------------------------------------------------------------ quality log

@@ -15,6 +15,7 @@ from tidewatch.operators import expectations as e
 from tidewatch.operators import health as h
 from tidewatch.operators import quality as q
 from tidewatch.operators import reports as r
+from tidewatch.operators.answers import AnswerStore
 from tidewatch.operators.insights import alert_prompts, explain_alerts
 from tidewatch.operators.suite import Suite, run_checks
 from tidewatch.plans.incremental import append_drift_tables, read_appended
@@ -23,6 +24,7 @@ from tidewatch.sources.metrics import daily_metrics, mean, total
 from tidewatch.sources.tables import append_measurements, overwrite_table, read_measurements
 from tidewatch.streaming.monitor import start_monitor, stream_table
 from tidewatch.streaming.table_monitor import TableMonitor
+from workload import sql_checks
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +94,23 @@ def drift_insights(spark, sf):
     return t.tidy(explain_alerts(t.alerts(spark, sf)))
 
 
+def shout(prompts):
+    return [p.upper() for p in prompts]
+
+
+def never(prompts):
+    raise AssertionError("all of these have been answered")
+
+
+@query
+def drift_insights_stored(spark, sf):
+    """Answers kept under their prompts: the second call finds all of them and asks nothing."""
+    store = AnswerStore(spark, f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}")
+    alerts = t.alerts(spark, sf)
+    store.ask(alert_prompts(alerts), shout)
+    return t.tidy(explain_alerts(alerts, never, store))
+
+
 # ------------------------------------------------------------------ checks
 
 
@@ -254,6 +273,31 @@ def check_suite(spark, sf):
     return e.failures(raw, mart, rolling)
 
 
+@query
+def check_sql_bodies(spark, sf):
+    """Ten checks written as SQL, over staged metrics and the classified table."""
+    named = ("metric_name", "metric_value")
+    raw = measure(
+        t.staged(spark, sf),
+        sql_checks.kinds.on("metric_name"),
+        sql_checks.in_range.on(*named, metric="avg_order_value", low=50_000, high=400_000),
+        sql_checks.at_least.on(*named, metric="revenue", low=0),
+        sql_checks.above.on(*named, metric="order_count", low=0),
+        sql_checks.gaps.on("metric_date"),
+        name="RAW",
+    )
+    mart = measure(
+        t.drift(spark, sf),
+        sql_checks.volume.on("metric_date"),
+        sql_checks.shift.on("metric_date", "metric_value"),
+        sql_checks.listed.on("drift_severity"),
+        sql_checks.plausible.on("z_score", bound=10),
+        sql_checks.ready.on("z_score"),
+        name="DRIFT",
+    )
+    return raw.unionByName(mart)
+
+
 @query
 def expect_not_null(spark, sf):
     """Counted while the drift table and the quality log are written."""
