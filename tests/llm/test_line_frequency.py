@@ -105,5 +105,59 @@ def test_near_copies_do_not_remove_each_other(spark):
     assert kept == {r[0] for r in rows}
 
 
+def test_pages_of_one_common_line_are_rejected(spark):
+    notice = own(7777, 7778)  # 24 words
+    rows = [(k, own(k, k + 1000)) for k in range(70)]
+    rows += [(100 + k, f"{notice}\n{own(5000 + k, k=3)}") for k in range(30)]
+    longer = [(200 + k, f"{notice}\n{own(*range(6000 + 10 * k, 6008 + 10 * k))}") for k in range(5)]
+    for extra in ([], longer):
+        docs = cases.documents(spark, rows + extra).drop("source").selectExpr("*", "'one' as source")
+        kept = {r.doc_id for r in quality_rules(docs).collect() if r.kept}
+        assert kept == {k for k in range(70)} | {k for k, _ in extra}
+
+
+def brute_shares(texts, max_share=0.05, least_docs=5, least_share=0.2):
+    """Words removed from each of a host's distinct texts, by the rule of the registered query."""
+    held = {t: lines(t) for t in texts}
+    holders = Counter(line for t in held for line in held[t])
+    alike = defaultdict(set)
+    for t, own_lines in held.items():
+        often = [x for x in own_lines if holders[x] > max(least_docs, max_share * len(held))]
+        n_words = sum(own_lines.values())
+        if n_words - sum(own_lines[x] for x in often) < least_share * n_words:
+            top = sorted(often, key=lambda x: -own_lines[x])[:3]
+            for pair in {frozenset((x, y)) for x in top for y in top if x != y}:
+                alike[pair].add(t)
+    weight = {t: 1.0 for t in held}
+    for group in alike.values():
+        for t in group:
+            weight[t] = min(weight[t], 1 / len(group))
+    size = sum(weight.values())
+    own_count = {x: round(sum(weight[t] for t in held if x in held[t]), 6) for x in holders}
+    gone = {x for x in holders if holders[x] > least_docs and own_count[x] > max(least_docs, max_share * round(size, 6))}
+    return {t: sum(n for x, n in held[t].items() if x in gone) for t in held}
+
+
+def test_shares_against_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    common = [own(8000 + k, k=k + 3) for k in range(12)]  # of different lengths, so that none tie
+    texts = [own(k, k=rng.randint(2, 30)) for k in range(60)]
+    for k in range(120):
+        some = rng.sample(common, rng.choice([1, 1, 2, 4]))
+        texts.append("\n".join([*some, own(3000 + k, k=rng.choice([1, 2, 40]))]))
+    for k in range(40):  # near copies
+        texts.append("\n".join([*(own(8500 + j, k=20 + j) for j in range(5)), own(4000 + k, k=2)]))
+    texts += texts[70:80]
+    docs = cases.documents(spark, list(enumerate(texts))).drop("source").selectExpr("*", "'one' as source")
+    wanted = brute_shares(set(texts))
+    got = quality_rules(docs).collect()
+    assert {r.doc_id: r.removed_words for r in got} == {k: wanted[t] for k, t in enumerate(texts)}
+    depleted = {r.doc_id for r in got if not r.kept and not r.base_failed}
+    assert depleted and any(r.removed_words and r.kept for r in got)
+    assert {r.doc_id for r in got if 180 <= r.doc_id < 220 and r.kept} == set(range(180, 220))
+
+
 def test_empty_table(spark):
     assert quality_rules(cases.empty(spark)).count() == 0

@@ -6,8 +6,9 @@ texts are one; lines above the limit, a share of the host's distinct documents,
 documents of which too few words remain are rejected, as are those that fail the base rules.
 
 Near copies would make each other's lines frequent. Documents that would be rejected for their
-frequent lines and have one of the longest three of these in common therefore count about as one, in
-the lines' counts and in the host's size: each weighs one by the largest such group it is in.
+frequent lines and have two of the longest three of these in common therefore count about as one, in
+the lines' counts and in the host's size: each weighs one by the largest such group it is in. One line
+in common makes no near copies: pages that hold little besides it are what the rule is for.
 
 Two steps: one pass over the texts makes a small row per document (counts, its distinct line hashes
 and the words under each), which is written to the shared folder; the rest works on that table. A
@@ -159,6 +160,10 @@ def _held(measured: DataFrame) -> DataFrame:
     return lines.select("host", "text_key", F.col("l.line").alias("line"), F.col("l.words").alias("words"))
 
 
+def _pair(x: Column, y: Column) -> Column:
+    return F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(F.least(x, y), F.greatest(x, y)))
+
+
 def frequent_lines(
     measured: DataFrame, max_share: float, least_docs: int, least_share: float
 ) -> DataFrame:
@@ -177,15 +182,17 @@ def frequent_lines(
 
     first = counts.join(sizes, "host").where(F.col("count") > limit(F.col("docs"))).select("host", "line")
     hits = held.join(first, ["host", "line"]).groupBy("host", "text_key", "line").agg(F.max("words").alias("words"))
+    # a text's frequent lines are at most as many as its lines
     longest = F.slice(F.sort_array(F.collect_list(F.struct("words", "line")), False), 1, 3)
+    pairs = F.array(*(_pair(F.get("longest.line", a), F.get("longest.line", b)) for a, b in ((0, 1), (0, 2), (1, 2))))
     gone = hits.groupBy("host", "text_key").agg(F.sum("words").alias("gone"), longest.alias("longest"))
     keys = gone.join(texts, ["host", "text_key"]).where(
         F.col("n_words") - F.col("gone") < least_share * F.col("n_words")
-    ).select("host", "text_key", F.explode("longest.line").alias("line"))
-    groups = keys.groupBy("host", "line").agg(F.count("*").alias("alike"))
+    ).select("host", "text_key", F.explode(pairs).alias("pair")).where("pair is not null")
+    groups = keys.groupBy("host", "pair").agg(F.count("*").alias("alike"))
     # what each near copy counts less than a whole document
     copies = written(
-        keys.join(groups, ["host", "line"]).groupBy("host", "text_key")
+        keys.join(groups, ["host", "pair"]).groupBy("host", "text_key")
         .agg((1 - 1 / F.max("alike")).alias("less")), "near-copies",
     )
     fewer = held.join(copies, ["host", "text_key"]).groupBy("host", "text_key", "line").agg(
