@@ -53,6 +53,20 @@ def test_verdicts(spark):
     assert judge_urls(frame(spark, []), RULES, listed).count() == 0
 
 
+def test_keys_with_paths(spark):
+    listed = spark.createDataFrame([("bad.com/",), ("fine.com/de/",), ("fine.com",), (None,)], "key string")
+    wanted = [brute(u) for u in URLS]
+    wanted = [
+        (h, p, rule, v if rule else "block" if h + p in ("bad.com/", "fine.com/de/") else "allow")
+        for h, p, rule, v in wanted
+    ]
+    for bits in (1 << 20, 0):
+        got = judge_urls(frame(spark, URLS), RULES, listed, bits, by_path=True).orderBy("page_id").collect()
+        assert [(r.host, r.path, r.rule, r.verdict) for r in got] == wanted
+    # a host without its path is another key
+    assert {r.verdict for r in got if r.host == "bad.com" and r.path == ""} == {"allow"}
+
+
 def test_cascade_is_exact(spark):
     universe = spark.range(30_000).select(F.col("id").cast("string").alias("key"))
     listed = universe.where("cast(key as int) % 9 = 4")

@@ -14,7 +14,7 @@ from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.sharding import shard_rows
 from tidewatch.llm.style_tree import extract_text
 from tidewatch.llm.token_files import token_output
-from tidewatch.llm.url_filters import Rule, judge_urls, url_host
+from tidewatch.llm.url_filters import Rule, judge_urls, url_host, url_path
 from tidewatch.llm.vantage_trees import simhash_components
 from tidewatch.llm.warc import warc_round_trip
 from tidewatch.llm.whitening import whitened
@@ -26,7 +26,7 @@ RULES = [
     Rule("org", "/fr/", "allow"),
 ]
 
-#: Hosts that the key list of op9 holds.
+#: Hosts whose pages the key list of op9 holds.
 UNWANTED = r"(^|[.-])(ads|adult|bets|casino|pills|porn|spam)([.-]|$)"
 
 
@@ -79,10 +79,11 @@ def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
-    """Rules, then a key list: the corpus's hosts that have a word for spam or advertising in a label."""
+    """Rules, then a key list: host and path of the pages whose host has a word for spam or advertising in a label."""
     pages = table(spark, sf, "pages").select("page_id", "url")
-    listed = pages.select(url_host(F.col("url")).alias("key")).where(F.col("key").rlike(UNWANTED))
-    return judge_urls(pages, RULES, listed.distinct()).drop("url")
+    host = url_host(F.col("url"))
+    listed = pages.where(host.rlike(UNWANTED)).select(F.concat(host, url_path(F.col("url"))).alias("key"))
+    return judge_urls(pages, RULES, listed.distinct(), by_path=True).drop("url")
 
 
 def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:

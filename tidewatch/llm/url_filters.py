@@ -167,21 +167,23 @@ def build_cascade(
 
 
 def judge_urls(
-    pages: DataFrame, rules: list[Rule], listed: DataFrame, max_bits: int = MAX_BITS
+    pages: DataFrame, rules: list[Rule], listed: DataFrame, max_bits: int = MAX_BITS, by_path: bool = False,
 ) -> DataFrame:
-    """``pages`` with host, path, rule and verdict: the longest rule's, else block for listed hosts.
+    """``pages`` with host, path, rule and verdict: the longest rule's, else block for listed keys.
 
-    ``listed`` has a column ``key`` of hosts. Membership is asked of a cascade over all hosts of
-    ``pages``; if it would exceed ``max_bits``, of a join with the list.
+    ``listed`` has a column ``key`` of hosts, or with ``by_path`` of hosts followed by paths. Membership
+    is asked of a cascade over all such keys of ``pages``; if it would exceed ``max_bits``, of a join
+    with the list.
     """
     host, path = url_host(F.col("url")), url_path(F.col("url"))
     rows = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host, "path": path})
     name, verdict = matched(rules, F.col("host"), F.col("path"))
-    cascade = build_cascade(rows.select(F.col("host").alias("key")), listed, max_bits=max_bits)
+    key = F.concat("host", "path") if by_path else F.col("host")
+    cascade = build_cascade(rows.select(key.alias("key")), listed, max_bits=max_bits)
     if cascade is not None:
-        blocked = cascade.listed(F.col("host"))
+        blocked = cascade.listed(key)
     else:
-        keys = listed.select(F.col("key").alias("host")).distinct().withColumn("__listed", F.lit(True))
-        rows, blocked = rows.join(keys, "host", "left"), F.col("__listed").isNotNull()
+        keys = listed.select(F.col("key").alias("__key")).distinct()
+        rows, blocked = rows.join(keys, key == F.col("__key"), "left"), F.col("__key").isNotNull()
     own = F.when(blocked, "block").otherwise("allow")
-    return rows.withColumns({"rule": name, "verdict": F.coalesce(verdict, own)}).drop("__listed")
+    return rows.withColumns({"rule": name, "verdict": F.coalesce(verdict, own)}).drop("__key")
