@@ -71,3 +71,53 @@ def test_damage_is_noticed(spark, vocabulary):
 
 def test_empty_table(spark, vocabulary):
     assert tf.token_output(cases.empty(spark), vocabulary).count() == 0
+
+
+MARKED = [
+    "<|endoftext|>", "one<|endoftext|>two", " a <|endoftext|> b ", "<|endoftext|><|endoftext|>\n",
+    "<|endof<|endoftext|>text|>", "<|ENDOFTEXT|>", "'<|endoftext|>s",
+]
+
+
+@pytest.fixture(scope="module")
+def plain_library(vocabulary):
+    """The library as it is, without a setting of ours."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary)
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_special_tokens_where_asked_for(vocabulary, plain_library):
+    texts = [*MARKED, *(t or "" for t in cases.texts(60)), "word " * 50 + "<|endoftext|>" + " word" * 50]
+    wanted = [plain_library(t) for t in texts]
+    for block in (1 << 20, 50):
+        ids, counts = Encoder(vocabulary, 1 << 12, special_tokens=True).encode(texts, block)
+        assert counts.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [i for w in wanted for i in w]
+
+
+def test_emptying_the_table_keeps_pieces_that_were_known(vocabulary, library):
+    code = Encoder(vocabulary, 1 << 6)
+    for k in range(40):
+        texts = [f"known words and word{k} of w{k * k}x", "and known"]
+        ids, counts = code.encode(texts)
+        wanted = [library(t) for t in texts]
+        assert counts.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [i for w in wanted for i in w]
+
+
+def test_query_encodes_as_the_library_does(spark, plain_library, tmp_path):
+    from tidewatch.llm.queries import op1_token_output
+
+    rows = dict(enumerate([*MARKED, None, "", "plain"]))
+    spark.createDataFrame(list(rows.items()), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    start = 0
+    for r in op1_token_output(spark, str(tmp_path)).orderBy("doc_id").collect():
+        ids = [*plain_library(rows.pop(r.doc_id)), 2]
+        assert (r.start, r.n_tokens) == (start, len(ids))
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+    assert not rows

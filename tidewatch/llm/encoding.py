@@ -2,7 +2,8 @@
 
 Byte-level BPE works on pieces that its splitting pattern cuts from the text, each on its own. So the
 pieces are found for a block of texts at once with numpy, looked up by hash, and only those not
-seen before go through the tokenizers library. A vocabulary with any other set-up is used directly.
+seen before go through the tokenizers library. Added tokens are cut from the text before that, as the
+library does it; special ones only where asked for. A vocabulary with any other set-up is used directly.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ CUT = re.compile(r"(?<=[a-z]) (?=[a-z])")
 LONG_PIECE = 255
 
 _classes: np.ndarray | None = None
-_encoders: dict[tuple[str, int], Encoder] = {}
+_encoders: dict[tuple[str, int, bool], Encoder] = {}
 
 
 def _class_table() -> np.ndarray:
@@ -41,11 +42,12 @@ def _class_table() -> np.ndarray:
     return _classes
 
 
-def encoder(path: str, slots: int = 1 << 21) -> Encoder:
+def encoder(path: str, slots: int = 1 << 21, special_tokens: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file, made once."""
-    if (path, slots) not in _encoders:
-        _encoders[path, slots] = Encoder(path, slots)
-    return _encoders[path, slots]
+    key = path, slots, special_tokens
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 def _segments(text: str, size: int) -> list[str]:
@@ -61,19 +63,29 @@ def _segments(text: str, size: int) -> list[str]:
 
 
 class Encoder:
-    def __init__(self, path: str, slots: int) -> None:
+    """Encodes texts. With ``special_tokens`` a special token's string in a text gives that token's
+    id, which is the library's default; without, it is ordinary text.
+    """
+
+    def __init__(self, path: str, slots: int, special_tokens: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special_tokens
         self.vocabulary = self.tokenizer.get_vocab_size()
         setup = json.loads(self.tokenizer.to_str())
         split = setup["pre_tokenizer"] or {}
+        added = [t for t in setup["added_tokens"] if special_tokens or not t["special"]]
+        self.added = {t["content"]: t["id"] for t in added if t["content"]}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut_added = re.compile("(" + "|".join(map(re.escape, longest)) + ")")
         self.by_pieces = (
             setup["model"]["type"] == "BPE" and setup["normalizer"] is None
             and not setup["model"].get("dropout") and split.get("type") == "ByteLevel"
             and split.get("use_regex") and not split.get("add_prefix_space")
+            and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)
+            and len({t["normalized"] for t in added}) <= 1
         )
         self._clear(slots)
 
@@ -87,20 +99,36 @@ class Encoder:
     def encode(self, texts: list[str], block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and how many each text has."""
         counts = np.zeros(len(texts), np.int64)
-        parts, held, owners, size = [], [], [], 0
+        parts, held, owners, marks, size = [], [], [], {}, 0
         for row, text in enumerate(texts):
-            for segment in _segments(text, block):
+            for segment in self._parts(text, block):
+                if isinstance(segment, int):
+                    marks[len(held)], segment = segment, ""
                 held.append(segment)
                 owners.append(row)
-                size += len(segment)
+                size += len(segment) + 1
                 if size >= block:
-                    parts.append(self._block(held, owners, counts))
-                    held, owners, size = [], [], 0
+                    parts.append(self._block(held, owners, marks, counts))
+                    held, owners, marks, size = [], [], {}, 0
         if held:
-            parts.append(self._block(held, owners, counts))
+            parts.append(self._block(held, owners, marks, counts))
         return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), counts
 
-    def _block(self, texts: list[str], owners: list[int], counts: np.ndarray) -> np.ndarray:
+    def _parts(self, text: str, size: int) -> list[str | int]:
+        """The parts of a text that are encoded on their own, added tokens as their ids."""
+        if not self.by_pieces:
+            return [text]
+        if not any(token in text for token in self.added):
+            return _segments(text, size)
+        out: list[str | int] = []
+        for k, part in enumerate(self.cut_added.split(text)):
+            out += [self.added[part]] if k % 2 else _segments(part, size)
+        return out
+
+    def _block(
+        self, texts: list[str], owners: list[int], marks: dict[int, int], counts: np.ndarray
+    ) -> np.ndarray:
+        """Ids of the texts; in place of those that ``marks`` numbers stands the id that it gives."""
         if not self.by_pieces:
             found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             lists = [np.array(x.ids, np.uint32) for x in found]
@@ -116,14 +144,12 @@ class Encoder:
         long = ends - begins > LONG_PIECE
         new = (slots < 0) & ~long
         if new.any():
+            if self.known + len(np.unique(hashes[new])) > self.slots // 2:
+                # start anew with all pieces of this block, in a larger table if they need it
+                new = ~long
+                self._clear(max(self.slots, 1 << (4 * len(np.unique(hashes[new]))).bit_length()))
             self._learn(joined, begins[new], ends[new], hashes[new])
             slots[new] = self._find(hashes[new])
-            if (slots[~long] < 0).any():  # the table was emptied meanwhile
-                slots[~long] = self._find(hashes[~long])
-                rest = (slots < 0) & ~long
-                if rest.any():
-                    self._learn(joined, begins[rest], ends[rest], hashes[rest])
-                    slots[rest] = self._find(hashes[rest])
         sizes = np.where(long, 0, self.length[slots])
         firsts = self.begin[slots].astype(np.int64)
         pool = self.pool
@@ -135,8 +161,13 @@ class Encoder:
             firsts[places] = self.filled + np.cumsum(sizes[places]) - sizes[places]
         of = np.searchsorted(stops, begins)
         per_text = np.bincount(of, sizes, len(texts)).astype(np.int64)
+        ids = pool[spans(firsts, sizes)]
+        if marks:
+            places = list(marks)
+            ids = np.insert(ids, np.cumsum(per_text)[places], list(marks.values()))
+            per_text[places] += 1
         np.add.at(counts, owners, per_text)
-        return pool[spans(firsts, sizes)]
+        return ids
 
     def _pieces(self, points: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         kind = _class_table()[points]
@@ -187,9 +218,6 @@ class Encoder:
 
     def _learn(self, joined: str, begins, ends, hashes) -> None:
         hashes, first = np.unique(hashes, return_index=True)
-        if self.known + len(hashes) > self.slots // 2:
-            # start anew; in a larger table if this block alone has too many pieces
-            self._clear(max(self.slots, 1 << (4 * len(hashes)).bit_length()))
         pieces = [joined[b:e] for b, e in zip(begins[first], ends[first], strict=True)]
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         lists = [x.ids for x in found]

@@ -42,7 +42,7 @@ def vocabulary() -> str:
 
 
 def op1_token_output(spark: SparkSession, sf: str) -> DataFrame:
-    return token_output(table(spark, sf, "documents"), vocabulary(), end_id=2)
+    return token_output(table(spark, sf, "documents"), vocabulary(), end_id=2, special_tokens=True)
 
 
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:

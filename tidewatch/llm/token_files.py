@@ -160,13 +160,17 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarr
     return np.insert(ids, np.cumsum(counts), end_id).astype(np.uint32), counts + 1
 
 
-def encoded(batch: pa.RecordBatch, vocabulary: str, end_id: int, size: int = 1 << 22):
+def encoded(
+    batch: pa.RecordBatch, vocabulary: str, end_id: int, special_tokens: bool = False,
+    size: int = 1 << 22,
+):
     """Blocks of (doc ids, known, ids, lengths) of the rows of a batch with doc_id and text."""
     column = as_strings(batch.column("text"))
     doc_ids = batch.column("doc_id")
     known = np.asarray(doc_ids.is_valid())
     values = np.asarray(doc_ids.fill_null(0)).astype(np.int64)
-    code, begin, held, rows = encoder(vocabulary), 0, [], column.to_pylist()
+    code = encoder(vocabulary, special_tokens=special_tokens)
+    begin, held, rows = 0, [], column.to_pylist()
     total = 0
     for row, text in enumerate(rows):
         held.append(text)
@@ -177,9 +181,13 @@ def encoded(batch: pa.RecordBatch, vocabulary: str, end_id: int, size: int = 1 <
             begin, held, total = row + 1, [], 0
 
 
-def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int) -> DataFrame:
+def write_tokens(
+    docs: DataFrame, folder: str, vocabulary: str, end_id: int, special_tokens: bool = False
+) -> DataFrame:
     """Encode the texts of ``docs`` and write token files in ascending order of ``doc_id``.
 
+    The string of a special token in a text is ordinary text, or with ``special_tokens`` that token.
+
     Returns the manifest (``MANIFEST``), a row per file in order. Each task writes one file under a
     name of its own, and the manifest is kept by Spark's committer: it names the files of the
     attempts that counted, and what a lost attempt has left is never read.
@@ -188,10 +196,11 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int) ->
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, out, uri = TaskContext.get().partitionId(), None, ""
         for batch in batches:
-            for doc_ids, known, ids, lengths in encoded(batch, vocabulary, end_id):
+            for doc_ids, known, ids, lengths in encoded(batch, vocabulary, end_id, special_tokens):
                 if out is None:
                     uri = f"{folder}/tokens-{number:06d}-{uuid.uuid4().hex}.bin"
-                    size = max(encoder(vocabulary).vocabulary, end_id + 1)
+                    code = encoder(vocabulary, special_tokens=special_tokens)
+                    size = max(code.vocabulary, end_id + 1)
                     out = TokenWriter(uri, bits_for(size))
                 out.add(doc_ids, known, ids, lengths)
         if out is not None:
@@ -252,7 +261,9 @@ def _digest(path: str, start: int, chunk: int) -> Iterator[pa.RecordBatch]:
     file.close()
 
 
-def token_output(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:
+def token_output(
+    docs: DataFrame, vocabulary: str, end_id: int = 2, special_tokens: bool = False
+) -> DataFrame:
     """Write token files to the shared folder and read them back."""
     folder = shared_folder(docs.sparkSession, "tokens")
-    return read_tokens(write_tokens(docs, folder, vocabulary, end_id))
+    return read_tokens(write_tokens(docs, folder, vocabulary, end_id, special_tokens))
