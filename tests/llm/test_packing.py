@@ -65,3 +65,25 @@ def test_documents_are_packed_whole(spark, vocabulary):
 
 def test_empty_table(spark, vocabulary):
     assert pack_documents(cases.empty(spark), vocabulary).count() == 0
+
+
+def test_query_encodes_as_the_library_does(spark, vocabulary, tmp_path):
+    from tidewatch.llm.queries import op8_best_fit_packing
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary)
+    texts = ["<|endoftext|>", "a<|endoftext|>b", " <|endoftext|><|endoftext|> ", None, "", "plain",
+             "word <|endoftext|> " * 3000]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    wanted = set()
+    for doc_id, text in enumerate(texts):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        first = len(ids) % 2048 or 2048
+        cuts = [0, *range(first, len(ids) + 1, 2048)]
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            wanted.add((doc_id, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
+    got = op8_best_fit_packing(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got} == wanted
+    assert len(got) == len(wanted)

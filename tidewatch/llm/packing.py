@@ -31,13 +31,15 @@ PIECES = (
 )
 
 
-def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> DataFrame:
+def cut_pieces(
+    docs: DataFrame, vocabulary: str, capacity: int, end_id: int, special_tokens: bool = False
+) -> DataFrame:
     """Pieces of all documents (``PIECES``), with their number among equal lengths of the task."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for doc_ids, known, ids, lengths in encoded(batch, vocabulary, end_id):
+            for doc_ids, known, ids, lengths in encoded(batch, vocabulary, end_id, special_tokens):
                 counts = -(-lengths // capacity)
                 row = np.repeat(np.arange(len(lengths)), counts)
                 piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -235,10 +237,14 @@ def _substitute(
 
 
 def pack_documents(
-    docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0, groups: int = 48
+    docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0, groups: int = 48,
+    special_tokens: bool = False,
 ) -> DataFrame:
-    """All pieces of ``docs`` (doc_id, text) with their sequence and place in it."""
-    pieces = written(cut_pieces(docs, vocabulary, capacity, end_id), "pieces")
+    """All pieces of ``docs`` (doc_id, text) with their sequence and place in it.
+
+    The string of a special token in a text is ordinary text, or with ``special_tokens`` that token.
+    """
+    pieces = written(cut_pieces(docs, vocabulary, capacity, end_id, special_tokens), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = plan_packing(histogram, capacity, groups)
 

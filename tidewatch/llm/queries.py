@@ -75,7 +75,8 @@ def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return pack_documents(table(spark, sf, "documents"), vocabulary(), capacity=2048, end_id=0)
+    docs = table(spark, sf, "documents")
+    return pack_documents(docs, vocabulary(), capacity=2048, end_id=0, special_tokens=True)
 
 
 def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
